@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.llm.canonical import assign_canonical
 from sessionloom.llm.confusables import clean_dictionary
+from sessionloom.llm.variants import entity_pairs, link_variants
 from sessionloom.session import table
 
 
@@ -50,5 +51,30 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_dictionary(rows, "value").select("field_name", "row_id", "clean_text")
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found}
+def p6_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every named row with its entity."""
+    nothing = F.lit(None).cast("string")
+
+    def rows(df: DataFrame, field: str, kind, key: str, group: str, name: str, second=nothing, refine=nothing) -> DataFrame:
+        columns = [F.lit(field).alias("field"), F.col(key).alias("row_id"), kind.alias("kind"), F.col(group).alias("group")]
+        return df.select(*columns, F.col(name).alias("name"), second.alias("second"), refine.alias("refine"))
+
+    names = table(spark, sf_dir, "native_american_names").where("first_name is not null")
+    places = table(spark, sf_dir, "place_names").where("place_type = 'district'")
+    tags = _tags(spark, sf_dir).where("tag_category in ('ENTITY_Person', 'ENTITY_Organization')")
+    tag_kind = F.lower(F.substring_index("tag_category", "_", -1))
+    parts = [
+        rows(names, "native_american_names", F.lit("person"), "id", "source", "first_name", F.col("last_name"), F.col("tribe_origin")),
+        rows(places, "place_names.name", F.lit("district"), "id", "source", "name", refine=F.col("state")),
+        rows(tags, "transcript_tags.matched_text", tag_kind, "tag_id", "source_file", "matched_text"),
+    ]
+    return link_variants(reduce(DataFrame.unionByName, parts))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of rows that mean the same person, district or organisation."""
+    return entity_pairs(p6_entities(spark, sf_dir)).withColumnRenamed("field", "field_name")
+
+
+QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_entities": p6_entities}
 ORACLE: dict[str, str] = {}
