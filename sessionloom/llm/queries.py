@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.llm.canonical import assign_canonical
 from sessionloom.llm.confusables import clean_dictionary
+from sessionloom.llm.personal import find_personal, learn_names
 from sessionloom.llm.variants import entity_pairs, link_variants
 from sessionloom.session import table
 
@@ -24,6 +25,25 @@ def _tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tags.groupBy("tag_id").agg(latest).select("tag_id", "t.*")
 
 
+def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contexts, quotes and notes with typed placeholders, and what was found in them."""
+    lexicon = learn_names(table(spark, sf_dir, "native_american_names"), "first_name", "last_name")
+    mention = F.when(F.col("tag_category") == "ENTITY_Person", F.col("matched_text"))
+    nothing = F.lit(None).cast("string").alias("mention")
+    rows = [
+        _field(table(spark, sf_dir, "transcript_tags"), "transcript_tags.context", "tag_id", "context", mention.alias("mention")),
+        _field(table(spark, sf_dir, "interview_quotes"), "interview_quotes.quote", "quote_id", "quote", nothing),
+        _field(table(spark, sf_dir, "interview_evidence"), "interview_evidence.note", "evidence_id", "note", nothing),
+    ]
+    return find_personal(reduce(DataFrame.unionByName, rows).withColumnRenamed("value", "text"), lexicon)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct stretch of personal information by row and kind."""
+    found = p3_redacted(spark, sf_dir).select("field_name", "row_id", F.explode("found").alias("f"))
+    return found.select("field_name", "row_id", "f.kind", "f.surface").distinct()
+
+
 def p4_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every free-entered value with the canonical entry it means, 0 if the list has none."""
     places, tags = table(spark, sf_dir, "place_names"), table(spark, sf_dir, "transcript_tags")
@@ -76,5 +96,5 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entity_pairs(p6_entities(spark, sf_dir)).withColumnRenamed("field", "field_name")
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_entities": p6_entities}
+QUERIES = {"p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_entities": p6_entities}
 ORACLE: dict[str, str] = {}
