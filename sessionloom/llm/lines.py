@@ -18,8 +18,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATES = ("prose", "record", "links", "tags", "menu")
-#: States whose lines count as prose: sentences, and the lines of a real record (agenda, word list, list of those present).
+STATES = ("prose", "record", "links", "tags", "menu", "stuffed")
+#: The first states' lines count as prose: sentences, and the lines of a real record (agenda, word list, those present).
+#: Tag lists have two states too: lists proper, and sentences stuffed with one keyword.
 PROSE = 2
 # Function words of English, Spanish and French.
 FUNCTION_WORDS = frozenset(
@@ -76,7 +77,7 @@ def page_lines(text: str) -> Iterator[tuple[int, tuple[int, ...]]]:
         tags = line.count("#") / size if "#" in line else 0.0
         commas = line.count(",") / size
         kinds = set(tokens)
-        item = 1 if _ITEM.match(line) else 0
+        item = _ITEM.match(line)
         end = line.rstrip()[-1:]
         block.append(
             (
@@ -90,11 +91,11 @@ def page_lines(text: str) -> Iterator[tuple[int, tuple[int, ...]]]:
                     (commas > 0) + (commas > 0.08) + (commas > 0.18),
                     (len(kinds) > 0.35 * pieces) + (len(kinds) > 0.6 * pieces) + (len(kinds) > 0.85 * pieces) if pieces > 7 else 4,
                     (size > 3) + (size > 8) + (size > 20),
-                    2 * item + (end in ".?!" and line.lstrip()[:1].isupper()),
+                    4 if item and line[item.end() - 2] in ".)" else 2 * bool(item) + (end in ".?!" and line.lstrip()[:1].isupper()),
                 ),
             )
         )
-        counts.update(tokens)
+        counts.update(tokens[line[: item.end()].count(" ") or 1 :] if item and line[item.end() - 2] == ":" else tokens)
         total += pieces
         if total >= BLOCK_WORDS:
             yield from _close(block, counts, total)
@@ -109,7 +110,7 @@ def _close(block: list, counts: Counter, total: int) -> Iterator[tuple[int, tupl
     for word, n in counts.items():
         if n > floor and n > most and word not in FUNCTION_WORDS and len(word) > 2 and not word.isdigit():
             most = n
-    top = (most - 1) / total if most else 0.0
+    top = (most - 1) / max(total, 30) if most else 0.0
     level = (top > 0.07) + (top > 0.11) + (top > 0.16) + (top > 0.25)
     for pieces, values in block:
         yield pieces, (*values, level)
@@ -127,11 +128,13 @@ def seed_label(v: tuple[int, ...]) -> int | None:
         return 3
     if v[MARK] >= 2 and v[FUNCTION] <= 1:
         return 4
-    if v[TOP] == 4 or (v[TOP] == 3 and v[FUNCTION] <= 2) or (v[OFFER] == 3 and v[FUNCTION] <= 3) or (v[OFFER] == 2 and v[COMMA] >= 2 and v[FUNCTION] <= 2):
+    if v[TOP] >= 3 and v[FUNCTION] >= 2 and v[SENTENCE] in (1, 3):
+        return 5
+    if v[TOP] >= 3 or (v[OFFER] == 3 and v[FUNCTION] <= 3) or (v[OFFER] == 2 and v[COMMA] >= 2 and v[FUNCTION] <= 2):
         return 3
     if v[TOP] > 2 or v[LINK] or v[MARK] or v[TAG] or v[OFFER] > 1:
         return None
-    if v[FUNCTION] >= 3 and v[SENTENCE] % 2 and v[TOP] <= 1:
+    if v[FUNCTION] >= 3 and v[SENTENCE] in (1, 3) and v[TOP] <= 1:
         return 0
     if v[OFFER] == 0 and (v[SENTENCE] >= 2 or (v[COMMA] >= 2 and v[FUNCTION] <= 1 and v[TOP] <= 1)):
         return 1
@@ -146,7 +149,7 @@ def fit(counts: dict[tuple[int, int, int], int]) -> Model:
         emit.append(tuple(tuple(log((counts.get((s, f, value), 0) + 1) / (total + 5)) for value in range(5)) for f in range(10)))
         moves = [counts.get((s, -1, t), 0) + 1 for t in range(len(STATES))]
         step.append(tuple(log(m / sum(moves)) for m in moves))
-    return Model(tuple(log(p) for p in (0.5, 0.35, 0.05, 0.05, 0.05)), tuple(step), tuple(emit))
+    return Model(tuple(log(p) for p in (0.5, 0.3, 0.05, 0.05, 0.05, 0.05)), tuple(step), tuple(emit))
 
 
 #: Weight of a line's features against the transitions: the features overlap, so they count less than independent ones.

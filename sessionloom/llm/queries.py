@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.llm.canonical import assign_canonical
 from sessionloom.llm.confusables import clean_dictionary
+from sessionloom.llm.lines import label_pages, learn_lines
 from sessionloom.llm.personal import find_personal, learn_names
 from sessionloom.llm.variants import entity_pairs, link_variants
 from sessionloom.session import table
@@ -96,5 +97,16 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entity_pairs(p6_entities(spark, sf_dir)).withColumnRenamed("field", "field_name")
 
 
-QUERIES = {"p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_entities": p6_entities}
+def p9_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, share of them outside prose, and whether it is flagged."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return label_pages(documents, "doc_id", "text", learn_lines(documents, "doc_id", "text"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which the greater part is keywords, links or tags."""
+    return p9_pages(spark, sf_dir).where("flagged").select("doc_id").distinct()
+
+
+QUERIES = {"p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_entities": p6_entities, "p9_found": p9_found, "p9_pages": p9_pages}
 ORACLE: dict[str, str] = {}
