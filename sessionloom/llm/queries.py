@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from sessionloom.llm.canonical import assign_canonical
 from sessionloom.llm.confusables import clean_dictionary
 from sessionloom.llm.lines import label_pages, learn_lines
+from sessionloom.llm.mixing import mix_sources
+from sessionloom.llm.packing import container_fill, pack_documents
 from sessionloom.llm.personal import find_personal, learn_names
+from sessionloom.llm.tokens import with_token_count
 from sessionloom.llm.variants import entity_pairs, link_variants
 from sessionloom.session import table
 
@@ -97,6 +100,32 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entity_pairs(p6_entities(spark, sf_dir)).withColumnRenamed("field", "field_name")
 
 
+def p7_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's container, for each capacity."""
+    sizes = [(r["container"], r["capacity_tokens"]) for r in table(spark, sf_dir, "container_sizes").orderBy("container").limit(1_000).collect()]
+    return pack_documents(table(spark, sf_dir, "documents"), sizes, "doc_id", "text")
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers of each capacity are."""
+    return container_fill(p7_plan(spark, sf_dir), table(spark, sf_dir, "container_sizes"))
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    documents = with_token_count(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "text")
+    return mix_sources(documents, table(spark, sf_dir, "mix_targets"))
+
+
+def p8_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drawn documents with their repeats, in the order of the mix."""
+    return _mix(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share each source reached."""
+    return _mix(spark, sf_dir)[1]
+
+
 def p9_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words, share of them outside prose, and whether it is flagged."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,5 +137,6 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_pages(spark, sf_dir).where("flagged").select("doc_id").distinct()
 
 
-QUERIES = {"p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p6_entities": p6_entities, "p9_found": p9_found, "p9_pages": p9_pages}
+_ALL = (p3_found, p3_redacted, p4_found, p5_found, p6_found, p6_entities, p7_plan, p7_fill, p8_plan, p8_shares, p9_found, p9_pages)
+QUERIES = {query.__name__: query for query in _ALL}
 ORACLE: dict[str, str] = {}
