@@ -66,8 +66,8 @@ def mix_sources(documents: DataFrame, targets: DataFrame, key: str = "doc_id", s
     its size. ``shares`` has one row per target source: documents and draws, sizes, shares wanted and reached.
 
     Documents of size zero or NULL, and of sources without target, are never drawn; a source that has no tokens gets
-    none, and the others share the mix in proportion. Repeated keys are drawn as separate documents. Shares are met to
-    within one document per source. ``max_sources`` bounds the rows of ``targets``, which the driver reads.
+    none, and the others share the mix in proportion. Repeated keys are drawn as separate documents. A draw
+    counts if its middle lies within the source's quota, so shares are met to within half a document per source. ``max_sources`` bounds the rows of ``targets``, which the driver reads.
     """
     wanted = targets.where("source is not null and target_share > 0 and max_repeats > 0").limit(max_sources + 1).collect()
     if len(wanted) > max_sources:
@@ -98,7 +98,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, key: str = "doc_id", s
         .join(offsets, ["source", "__bucket"])
         .withColumn("__start", F.col("__start") + F.col("__before"))
         .join(plan_df, "source")
-        .withColumn("repeats", F.greatest(F.lit(0), F.least("cap", F.ceil((F.col("quota") - F.col("__start")) / F.col("total")))).cast("int"))
+        .withColumn("repeats", F.greatest(F.lit(0), F.least("cap", F.ceil((F.col("quota") - F.col("__start") - F.col("__size") / 2) / F.col("total")))).cast("int"))
         .where("repeats > 0")
     )
     draws = placed.withColumn("repeat_no", F.explode(F.sequence(F.lit(1), "repeats"))).withColumn("__at", F.col("__start") + (F.col("repeat_no") - 1) * F.col("total"))
