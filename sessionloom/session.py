@@ -36,3 +36,9 @@ def cut(df: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if ``df`` is counted to have at most ``limit`` rows; otherwise leave it to the planner."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Repartition ``df`` ahead of costly work per row, which the size of the data alone would leave to one task."""
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    return df.repartition(parts, *columns) if columns else df.repartition(parts)
