@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.llm.spelling import abbreviates, edits, fold, within, words
-from sessionloom.session import BROADCAST_ROWS, broadcast_if_small
+from sessionloom.session import BROADCAST_ROWS, broadcast_if_small, cut, spread
 
 # Words before or inside a value that say how it relates to the entry, not which one it is.
 QUALIFIERS = frozenset("the near out by at in around outside from town city of member members enrolled mostly partly formerly area".split())
@@ -160,9 +160,9 @@ def map_to_canonical(
     index = spark.createDataFrame(postings, "kind string, gram string, ref_id long, weight double, idf double")
 
     distinct = values.select("kind", "value", "hint").distinct()
-    normal = distinct.mapInPandas(_normalise, "kind string, value string, hint string, norm string")
+    normal = cut(spread(distinct, "value").mapInPandas(_normalise, "kind string, value string, hint string, norm string"))
     forms = normal.where("norm <> ''").select("kind", "norm").distinct()
-    posted = forms.mapInPandas(_explode_grams, "kind string, norm string, gram string, tf double")
+    posted = cut(spread(forms, "norm").mapInPandas(_explode_grams, "kind string, norm string, gram string, tf double"))
     scored = (
         posted.join(broadcast_if_small(index), ["kind", "gram"])
         .withColumn("own", F.col("tf") * F.col("idf"))
@@ -190,7 +190,7 @@ def map_to_canonical(
             batch["ref_id"] = chosen
             yield batch[["kind", "value", "hint", "ref_id"]]
 
-    return normal.join(candidates, ["kind", "norm"], "left").mapInPandas(accept, "kind string, value string, hint string, ref_id long")
+    return spread(normal.join(candidates, ["kind", "norm"], "left"), "norm").mapInPandas(accept, "kind string, value string, hint string, ref_id long")
 
 
 def _idf(total: int, n: int) -> float:
@@ -243,7 +243,7 @@ def _explode_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def assign_canonical(rows: DataFrame, reference: DataFrame) -> DataFrame:
     """``rows`` (field_name, row_id, kind, value, hint) with the ``ref_id`` each one means, 0 if none."""
     mapping = map_to_canonical(rows, reference)
-    small = broadcast_if_small(mapping.withColumnRenamed("hint", "__hint").withColumnRenamed("kind", "__kind").withColumnRenamed("value", "__value"))
+    small = broadcast_if_small(cut(mapping).withColumnRenamed("hint", "__hint").withColumnRenamed("kind", "__kind").withColumnRenamed("value", "__value"))
     same = (F.col("kind") == F.col("__kind")) & F.col("value").eqNullSafe(F.col("__value")) & F.col("hint").eqNullSafe(F.col("__hint"))
     return rows.join(small, same, "left").select("field_name", "row_id", F.coalesce("ref_id", F.lit(0)).cast("long").alias("ref_id"))
 

@@ -18,8 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.llm.spelling import abbreviates, edits, fold, lcs_ratio, words
-from sessionloom.session import cut
+from sessionloom.llm.spelling import abbreviates, edits, fold, lcs_ratio, within, words
+from sessionloom.session import cut, spread
 
 # Titles, endings of nicknames, words for administrative units, number words and roman numerals.
 TITLES = frozenset("mr mrs ms miss mx dr prof elder auntie aunty aunt uncle chief chairman chairwoman chair councilor councilman rev sister brother grandma grandpa".split())
@@ -153,7 +153,7 @@ def parse_district(name: str | None, _: str | None = None) -> tuple[str, ...]:
     for token in tokens:
         figure = token if token.isdigit() else _NUMBERS.get(token, "")
         as_unit = next((u for u in UNITS if token == u or (len(token) <= 5 and len(token) > 1 and abbreviates(token, u))), "")
-        as_unit = as_unit or next((u for u in UNITS if len(token) > 3 and edits(token, u) <= 1 + (len(u) > 6)), "")
+        as_unit = as_unit or next((u for u in UNITS if len(token) > 3 and within(token, u, 1 + (len(u) > 6))), "")
         if figure and not number:
             number = str(int(figure))
         elif as_unit and not unit:
@@ -218,7 +218,7 @@ def link_variants(rows: DataFrame, least_suffix: int = 4, common_block: int = 40
             batch["rank"] = [KINDS[kind].rank(p) for kind, p in zip(batch["kind"], parts, strict=True)]
             yield batch[[*keys, "parts", "rank"]]
 
-    surfaces = named.select(*keys).distinct().mapInPandas(parsed, "kind string, group long, name string, second string, refine string, parts array<string>, rank int")
+    surfaces = spread(named.select(*keys).distinct(), "group", "name").mapInPandas(parsed, "kind string, group long, name string, second string, refine string, parts array<string>, rank int")
     surfaces = cut(surfaces.withColumn("node", F.xxhash64("group", "parts", F.coalesce("refine", F.lit("\0")))))
     nodes = surfaces.select("kind", "group", "node", "parts", "rank", "refine").dropDuplicates(["node"])
     tokens = nodes.select("kind", "group", "node", F.explode(F.array_distinct("parts")).alias("token"))
@@ -290,7 +290,7 @@ def _compare(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
                 out += [(a, b, "weak")] * (forward == "weak") + [(b, a, "weak")] * (backward == "weak")
             yield pd.DataFrame(out, columns=["a", "b", "relation"])
 
-    return both.mapInPandas(relate, "a long, b long, relation string")
+    return spread(both, "a", "b").mapInPandas(relate, "a long, b long, relation string")
 
 
 def _components(nodes: DataFrame, links: DataFrame, most: int = 30) -> DataFrame:
