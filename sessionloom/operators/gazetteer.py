@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.functions.scalars import split_terms
-from sessionloom.session import broadcast_if_small
+from sessionloom.session import broadcast_if_small, number_rows
 
 #: Columns and unique keys of the six lookup tables.
 TABLES = {
@@ -46,7 +46,7 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 def frequency_rank(df: DataFrame, name: str, count: str) -> DataFrame:
     """(name, total, frequency_rank) by falling total; ties go to the name that comes first."""
     totals = df.groupBy(name).agg(F.sum(count).alias("total"))
-    return totals.withColumn("frequency_rank", F.row_number().over(Window.orderBy(F.desc("total"), name)).cast("long"))
+    return number_rows(totals, [F.desc("total"), F.col(name)], "frequency_rank")
 
 
 def top_ranked(df: DataFrame, name: str, count: str, most: int = 200) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows a broadcast side may have at most; beyond it the callers shuffle instead.
@@ -42,3 +42,17 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Repartition ``df`` ahead of costly work per row, which the size of the data alone would leave to one task."""
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     return df.repartition(parts, *columns) if columns else df.repartition(parts)
+
+
+def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with the position of each row in ``order``, from 1, without gathering the rows in one task.
+
+    A range-partitioned sort numbers the rows of each partition; only the partitions' counts are brought together.
+    """
+    marked = cut(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()))
+    part = F.shiftright("__id", 33).alias("__part")
+    before = F.coalesce(F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = marked.groupBy(part).count().select("__part", before.alias("__before"))
+    numbered = marked.withColumn("__part", F.shiftright("__id", 33)).join(F.broadcast(offsets), "__part")
+    local = F.col("__id") - F.shiftleft(F.col("__part"), 33)
+    return numbered.withColumn(name, (F.col("__before") + local + 1).cast("long")).drop("__id", "__part", "__before")
