@@ -2,8 +2,8 @@
 
 Rows are reduced to distinct parsed names within their group (the roll, gazette or session they come from). An index
 of token suffixes, read from both ends of the token, brings names together; suffixes that too many names of a group
-share are first refined by another field and dropped only if the refined block is still too large, while a whole token
-always stays in the index. Pairs of a block are compared by the longest-common-subsequence ratio of their parts. Equal
+share are first refined by initials or numbers and dropped only if the refined block is still too large, while a whole
+token always stays in the index. Pairs of a block are compared by the longest-common-subsequence ratio of their parts. Equal
 and misspelt names make components; initials, nicknames, acronyms and shortened names join the only component of
 their group they fit.
 """
@@ -36,12 +36,14 @@ class Kind:
     """How names of one kind are parsed and compared.
 
     ``parse`` turns (name, second name) into parts, ``compare`` two tuples of parts and their tokens' frequencies into
-    "same", "weak" (the first is a short form that may stand for the second) or None.
+    "same", "weak" (the first is a short form that may stand for the second) or None. ``rank`` tells full names from
+    short forms, ``refine`` gives what parts a block that is too large.
     """
 
     parse: Callable[[str | None, str | None], tuple[str, ...]]
     compare: Callable[[tuple[str, ...], tuple[str, ...], dict[str, int]], str | None]
     rank: Callable[[tuple[str, ...]], int]
+    refine: Callable[[tuple[str, ...]], str]
 
 
 def parse_person(first: str | None, last: str | None) -> tuple[str, ...]:
@@ -172,9 +174,9 @@ def compare_district(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, i
     return "weak" if not a[1] else None
 
 
-PERSON = Kind(parse_person, compare_person, rank_person)
-ORGANIZATION = Kind(parse_organization, compare_organization, lambda p: 2 if len(p) == 1 else 1 if len(p) == 2 else 0)
-DISTRICT = Kind(parse_district, compare_district, lambda p: 0 if p[1] else 1)
+PERSON = Kind(parse_person, compare_person, rank_person, lambda p: "".join(sorted(x[0] for x in p if x)))
+ORGANIZATION = Kind(parse_organization, compare_organization, lambda p: 2 if len(p) == 1 else 1 if len(p) == 2 else 0, lambda p: p[0][:1])
+DISTRICT = Kind(parse_district, compare_district, lambda p: 0 if p[1] else 1, lambda p: p[0][:1] + p[2])
 
 
 def block_keys(parts: tuple[str, ...], least: int, acronym: bool) -> set[tuple[str, bool]]:
@@ -204,7 +206,8 @@ def link_variants(rows: DataFrame, least_suffix: int = 4, common_block: int = 40
     stays alone. An empty table gives no rows.
 
     ``least_suffix`` is the shortest suffix indexed, ``common_block`` the number of distinct names of a group beyond
-    which a suffix is refined by the initials of the name's parts, and dropped if still beyond it.
+    which a block is refined by initials (and a district's number); a suffix still beyond it is dropped, since the longer
+    suffixes of the token remain, a whole token never.
     """
     named = rows.where("group is not null and (trim(coalesce(name, '')) <> '' or trim(coalesce(second, '')) <> '')")
     named = named.withColumn("group", F.xxhash64("field", "kind", "group"))
@@ -254,15 +257,15 @@ def _candidate_pairs(nodes: DataFrame, least: int, common: int) -> DataFrame:
         for batch in batches:
             out = []
             for kind, group, node, parts in zip(*(batch[c] for c in ("kind", "group", "node", "parts")), strict=True):
-                initials = "".join(sorted(p[0] for p in parts if p))
+                initials = KINDS[kind].refine(tuple(parts))
                 out += [(group, node, key, whole, initials) for key, whole in block_keys(tuple(parts), least, kind == "organization")]
             yield pd.DataFrame(out, columns=["group", "node", "key", "whole", "initials"])
 
     index = nodes.select("kind", "group", "node", "parts").mapInPandas(keys, "group long, node long, key string, whole boolean, initials string")
     block, refined = Window.partitionBy("group", "key"), Window.partitionBy("group", "key", "initials")
     index = index.withColumn("size", F.count("*").over(block)).withColumn("refined", F.count("*").over(refined))
-    fine = (F.col("size") > common) & ~F.col("whole")
-    index = index.where(~fine | (F.col("refined") <= common))
+    fine = F.col("size") > common
+    index = index.where(~fine | F.col("whole") | (F.col("refined") <= common))
     index = cut(index.select("node", F.xxhash64("group", "key", F.when(fine, F.col("initials")).otherwise("")).alias("block")))
     a, b = index.withColumnRenamed("node", "a"), index.withColumnRenamed("node", "b")
     return a.join(b, "block").where("a < b").select("a", "b").distinct()
