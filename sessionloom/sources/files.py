@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-_STEM = F.regexp_replace(F.element_at(F.split(F.col("path"), "/"), -1), r"\.[^.]*$", "")
 
 
 def docx_text(content: bytes, keep_blank: bool = False) -> str:
@@ -37,7 +36,8 @@ def read_transcripts(spark: SparkSession, paths: str | Sequence[str], keep_blank
             texts = [docx_text(c, keep_blank) if p.endswith(".docx") else c.decode("utf-8", "ignore") for p, c in zip(batch["path"], batch["content"], strict=True)]
             yield batch[["doc_id", "source_file"]].assign(raw_text=texts)
 
-    named = files.select("path", "content", _STEM.alias("doc_id"), F.element_at(F.split("path", "/"), -1).alias("source_file"))
+    name = F.element_at(F.split("path", "/"), -1)
+    named = files.select("path", "content", F.regexp_replace(name, r"\.[^.]*$", "").alias("doc_id"), name.alias("source_file"))
     return named.mapInPandas(parse, "doc_id string, source_file string, raw_text string")
 
 
