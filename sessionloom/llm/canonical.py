@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.llm.spelling import abbreviates, edits, fold, within, words
+from sessionloom.llm.spelling import abbreviates, fold, typing_errors, within, words
 from sessionloom.session import BROADCAST_ROWS, broadcast_if_small, cut, spread
 
 # Words before or inside a value that say how it relates to the entry, not which one it is.
@@ -84,7 +84,7 @@ def _as_kind(token: str, kinds: frozenset[str]) -> frozenset[str]:
 
 def stem_tolerance(size: int) -> int:
     """Typing errors allowed in a distinctive part of so many letters."""
-    return 0 if size < 4 else 1 if size < 6 else 2 if size < 9 else 3 if size < 16 else 4
+    return 0 if size < 4 else 1 if size < 6 else 2 if size < 12 else 3
 
 
 def check(value: Sequence[str], entry: Entry, kinds: frozenset[str]) -> tuple[float, int] | None:
@@ -119,7 +119,7 @@ def check(value: Sequence[str], entry: Entry, kinds: frozenset[str]) -> tuple[fl
         size = len(stem_words)
         spelled += [("".join(left[i : i + size]), 0.75) for i in range(len(left) - size + 1)]
     limit = stem_tolerance(len(stem))
-    fitting = [edits(text, form) + extra for text, extra in spelled for form in (stem, stem + "s") if within(text, form, limit)]
+    fitting = [n + extra for text, extra in spelled for form in (stem, stem + "s") if (n := typing_errors(text, form, limit)) is not None]
     return (min(fitting), missing) if fitting else None
 
 

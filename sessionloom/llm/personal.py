@@ -37,6 +37,7 @@ _SPELLED = re.compile(rf"\b(?:{_WORDS})(?:[\s,.-]+(?:{_WORDS})){{4,}}\b", re.I)
 _AT = r"(?:\s*[\(\[\{<]\s*at\s*[\)\]\}>]\s*|\s+at\s+|@)"
 _DOT = r"(?:\s*[\(\[\{<]\s*dot\s*[\)\]\}>]\s*|\s+dot\s+|\.)"
 _DISGUISED = re.compile(rf"\b[A-Za-z0-9][\w+-]*(?:{_DOT}[\w+-]+)*({_AT})[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
+_NO_HOST = re.compile(r"\b(?:the|an?|of|to|in|and)\b", re.I)
 _DISGUISE = re.compile(r"\s*[\(\[\{<]\s*(at|dot)\s*[\)\]\}>]\s*|\s+(at|dot)\s+", re.I)
 _EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
 
@@ -188,7 +189,7 @@ def _deobfuscate(text: Text) -> list[tuple[int, int]]:
         at = []
         for m in _DISGUISED.finditer(text.value):
             marks = [d for d in _DISGUISE.finditer(m[0])]
-            if any((d[1] or d[2]).lower() == "dot" for d in marks) or any("(" in d[0] or "[" in d[0] or "{" in d[0] or "<" in d[0] for d in marks):
+            if not _NO_HOST.search(m[0], m.end(1) - m.start()) and any((d[1] or d[2]).lower() == "dot" for d in marks) or any("(" in d[0] or "[" in d[0] or "{" in d[0] or "<" in d[0] for d in marks):
                 at += [(m.start() + d.start(), m.start() + d.end(), "@" if (d[1] or d[2]).lower() == "at" else ".") for d in marks]
         text.rewrite(at)
     runs = [m for m in _SPELLED.finditer(text.value)] if any(w in lowered for w in ("one", "two", "five", "zero", "oh ")) else []
@@ -347,7 +348,7 @@ def _like_name(token: str, lexicon: NameLexicon) -> bool:
 def learn_names(names: DataFrame, first: str, last: str, most: int = 20_000, least: int = 2) -> NameLexicon:
     """A lexicon of the ``most`` most frequent first and last names of labelled rows, each seen ``least`` times or more.
 
-    A column may hold the other's names in some rows: a name counts as what it is more often. The collected lexicon is
+    A column may hold the other's names in some rows: a name counts as what it is in at least a third of them. The collected lexicon is
     bounded by ``most`` whatever the table's size.
     """
     labelled = names.where(F.col(f"`{first}`").isNotNull() & F.col(f"`{last}`").isNotNull())
@@ -361,7 +362,7 @@ def learn_names(names: DataFrame, first: str, last: str, most: int = 20_000, lea
     ).select("n.*")
     counted = parts.where(r"name rlike '^[a-z]{4,}$'").groupBy("name").agg(F.sum("is_first").alias("first"), F.sum("is_last").alias("last"))
     rows = counted.where(F.col("first") + F.col("last") >= least).orderBy(F.desc(F.col("first") + F.col("last")), "name").limit(most).collect()
-    return NameLexicon([r["name"] for r in rows if 4 * r["first"] >= r["last"]], [r["name"] for r in rows if 4 * r["last"] >= r["first"]])
+    return NameLexicon([r["name"] for r in rows if 2 * r["first"] >= r["last"]], [r["name"] for r in rows if 2 * r["last"] >= r["first"]])
 
 
 def redact(source: str | None, spans: Sequence[Span]) -> str | None:

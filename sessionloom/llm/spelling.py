@@ -69,6 +69,24 @@ def within(a: str, b: str, limit: int) -> bool:
     return abs(len(a) - len(b)) <= limit and common_length(a, b) >= size - limit and edits(a, b) <= limit
 
 
+# Spellings that sound or look alike, rewritten in this order.
+ALIKE = [("qu", "kw"), ("x", "ks"), ("ck", "k"), ("ph", "f"), ("oo", "u"), ("rn", "m"), ("c", "k"), ("q", "k"), ("w", "v"), ("y", "i"), ("z", "s")]
+
+
+@lru_cache(maxsize=1 << 17)
+def sound(text: str) -> str:
+    """Folded text with spellings that sound alike written alike."""
+    for old, new in ALIKE:
+        text = text.replace(old, new)
+    return text
+
+
+def typing_errors(a: str, b: str, limit: int) -> int | None:
+    """The least edits between two words as typed or as they sound, None beyond ``limit``."""
+    found = [edits(x, y) for x, y in ((a, b), (sound(a), sound(b))) if within(x, y, limit)]
+    return min(found, default=None)
+
+
 @lru_cache(maxsize=1 << 16)
 def abbreviates(short: str, word: str) -> bool:
     """Whether ``short`` is a shortening of ``word``: same first letter (x for cross), its letters in order."""

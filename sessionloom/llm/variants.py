@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.llm.spelling import abbreviates, edits, fold, lcs_ratio, within, words
+from sessionloom.llm.spelling import abbreviates, fold, lcs_ratio, sound, typing_errors, within, words
 from sessionloom.session import cut, spread
 
 # Titles, endings of nicknames, words for administrative units, number words and roman numerals.
@@ -69,17 +69,16 @@ def parse_person(first: str | None, last: str | None) -> tuple[str, ...]:
     return tokens[0], "".join([*middle, tokens[-1]])
 
 
-def typo(a: str, b: str, counts: dict[str, int], strict: bool = False) -> bool:
+def typo(a: str, b: str, counts: dict[str, int]) -> bool:
     """Whether two tokens are one token typed differently, by their longest-common-subsequence ratio.
 
     Two tokens that many groups use are two established names, not a name and its misspelling.
     """
     if a == b:
         return True
-    if len(a) < 4 or len(b) < 4 or lcs_ratio(a, b) < (0.8 if strict else 0.7):
+    if len(a) < 4 or len(b) < 4 or max(lcs_ratio(a, b), lcs_ratio(sound(a), sound(b))) < 0.7:
         return False
-    distance = edits(a, b)
-    if distance > (1 if strict else 2) + (min(len(a), len(b)) >= 9):
+    if typing_errors(a, b, 2 + (min(len(a), len(b)) >= 9)) is None:
         return False
     low, high = sorted((counts.get(a, 1), counts.get(b, 1)))
     return not (low >= 3 and low >= 0.15 * high)
@@ -102,7 +101,7 @@ def compare_person(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, int
     """Same person, or ``a`` a short form of ``b``; swapped first and last names are tried too."""
     for x, y in ((a, b), (a, b[::-1])):
         if min(map(len, x)) > 1 and min(map(len, y)) > 1 and typo(x[0], y[0], counts) and typo(x[1], y[1], counts):
-            if edits(x[0], y[0]) + edits(x[1], y[1]) <= 4:
+            if (typing_errors(x[0], y[0], 4) or 0) + (typing_errors(x[1], y[1], 4) or 0) <= 4:
                 return "same"
         if min(map(len, y)) < 1:
             continue
