@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from sessionloom.llm.spelling import abbreviates, fold, lcs_ratio, sound, typing_errors, within, words
 from sessionloom.session import cut, spread
 
-# Titles, endings of nicknames, words for administrative units, number words and roman numerals.
+# Titles, endings of nicknames, words of organisations, administrative units, number words, roman numerals.
 TITLES = frozenset("mr mrs ms miss mx dr prof elder auntie aunty aunt uncle chief chairman chairwoman chair councilor councilman rev sister brother grandma grandpa".split())
 NICK_ENDINGS = ("ie", "ey", "y", "o", "i", "")
+BODIES = ("association", "alliance", "cooperative", "corporation", "foundation", "federation", "guild", "trust", "union", "society", "services", "council", "committee", "company")
 UNITS = ("district", "chapter", "ward", "precinct", "parish", "zone", "sector", "region", "division", "township", "county", "section")
 NUMBER_WORDS = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty".split()
 ROMAN = "i ii iii iv v vi vii viii ix x xi xii xiii xiv xv xvi xvii xviii xix xx".split()
@@ -116,11 +117,11 @@ def rank_person(parts: tuple[str, ...]) -> int:
     """0 for full names, 1 for nicknames, 2 for names with an initial: the order in which they find their entity."""
     if min(map(len, parts)) <= 1:
         return 2
-    return 1 if len(parts[0]) <= 5 and any(parts[0].endswith(e) for e in NICK_ENDINGS[:-1]) or len(parts[0]) <= 3 else 0
+    return 1 if len(parts[0]) <= 4 or (len(parts[0]) == 5 and parts[0].endswith(NICK_ENDINGS[:-1])) else 0
 
 
 def parse_organization(name: str | None, _: str | None = None) -> tuple[str, ...]:
-    """Words with the distinctive one first: "Guild of X" becomes "x guild"; dotted acronyms lose their points."""
+    """Words with the distinctive one first: "Guild of X" becomes "x guild"; abbreviated bodies are written out."""
     text = _DOTTED.sub(lambda m: m[0].replace(".", ""), name or "")
     folded = fold(text).replace("'", "").replace("co-op", "coop")
     tokens = words(folded)
@@ -129,7 +130,8 @@ def parse_organization(name: str | None, _: str | None = None) -> tuple[str, ...
     if "of" in tokens[1:-1]:
         at = tokens.index("of")
         tokens = tokens[at + 1 :] + tokens[:at]
-    return tuple(t for t in tokens if t not in ("of", "and", "the")) or ("",)
+    tokens = [t for t in tokens if t not in ("of", "and", "the")] or [""]
+    return (tokens[0], *(next((w for w in BODIES if len(t) <= 5 and abbreviates(t, w)), t) for t in tokens[1:]))
 
 
 def _kind_word(a: str, b: str) -> bool:
