@@ -17,8 +17,8 @@ DOLLARS = r"\$([0-9]+(?:,[0-9]+)*(?:\.[0-9]+)?)"
 def lexicon_hits(lines: DataFrame, lexicon: Sequence[tuple[str, str]], negative: Mapping[str, str] | None = None, window: int = 30) -> DataFrame:
     """``lines`` with ``category``, ``keyword``, ``hits`` and the ``context`` of the first one, a row per keyword found.
 
-    The lexicon (category, keyword) becomes one projection of literal patterns, so no join takes place. ``negative``
-    maps keywords to a pattern that suppresses the match if it occurs in its context of ``window`` characters.
+    The lexicon (category, keyword) becomes one projection of literal patterns, so no join takes place; a pattern runs
+    only on lines that hold its first word at all. ``negative`` maps keywords to a pattern that suppresses the match if it occurs in its context of ``window`` characters.
     """
     negative = negative or {}
     options = []
@@ -29,11 +29,11 @@ def lexicon_hits(lines: DataFrame, lexicon: Sequence[tuple[str, str]], negative:
         first = F.greatest(at - window, F.lit(1))
         context = F.substring("line", first, at + len(keyword) + window - first)
         struct = F.struct(F.lit(category).alias("category"), F.lit(keyword).alias("keyword"), hits.alias("hits"), context.alias("context"))
-        wanted = hits > 0
+        wanted = F.col("__low").contains(keyword.split()[0].lower()) & (hits > 0)
         if keyword in negative:
             wanted = wanted & ~context.rlike(negative[keyword])
         options.append(F.when(wanted, struct))
-    return lines.withColumn("__hit", F.explode(F.array_compact(F.array(*options)))).select(*lines.columns, "__hit.*")
+    return lines.withColumn("__low", F.lower("line")).withColumn("__hit", F.explode(F.array_compact(F.array(*options)))).select(*lines.columns, "__hit.*")
 
 
 def tag_counts(tags: DataFrame, category: str = "category") -> DataFrame:
