@@ -106,7 +106,7 @@ def clean_text(text: str | None) -> str | None:
         fits = frozenset.intersection(*map(_resolved, letters)) if letters else frozenset()
         parsed.append((token, letters, fits))
     whole = [{_script(c) for c in letters} for _, letters, fits in parsed if letters and "LATIN" not in fits]
-    latin = any("LATIN" in fits and any(_script(c) == "LATIN" for c in letters) for _, letters, fits in parsed)
+    latin = any("LATIN" in fits and (len(own := {_script(c) for c in letters}) > 1 or "LATIN" in own) for _, letters, fits in parsed)
     foreign = any(scripts != {"LATIN"} for scripts in whole)
     words = [_spell(token, letters, fits, latin and not foreign) if letters else token for token, letters, fits in parsed]
     return unicodedata.normalize("NFC", " ".join(words))
