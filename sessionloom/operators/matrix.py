@@ -22,6 +22,16 @@ def pivot_values(df: DataFrame, rows: str, columns: str, value: str, names: Sequ
     return df.groupBy(rows).pivot(columns, list(names)).agg(F.max(value))
 
 
+def distinct_names(df: DataFrame, columns: str, most: int = 1_000) -> list[str]:
+    """All values of ``columns`` in order, for a pivot that leaves none out; more than ``most`` or a NULL are refused."""
+    names = [r[0] for r in df.select(columns).distinct().limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"{columns} has more than {most} values, too many for columns")
+    if None in names:
+        raise ValueError(f"{columns} is NULL in some rows, which have no column")
+    return sorted(names)
+
+
 def unpivot_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
     """The wide table as (keys, name, value)."""
     return df.unpivot(list(keys), list(columns), name, value)

@@ -499,6 +499,19 @@ def q_matrix_unpivot(spark, sf_dir):
     return matrix.unpivot_values(wide, ["coop"], METRICS, "metric_code", "metric_value").where("metric_value is not null")
 
 
+@query(f"PIVOT (SELECT coop, metric_code, metric_value FROM {_EVIDENCE}) ON metric_code USING max(metric_value) GROUP BY coop")
+def q_matrix_pivot_all(spark, sf_dir):
+    """The matrix of every metric code in the evidence; q_matrix_pivot has the codes of METRICS only."""
+    evidence = _evidence(spark, sf_dir)
+    return matrix.pivot_values(evidence, "coop", "metric_code", "metric_value", matrix.distinct_names(evidence, "metric_code"))
+
+
+@query(f"SELECT coop, metric_code, metric_value FROM {_EVIDENCE} WHERE metric_value IS NOT NULL")
+def q_matrix_unpivot_all(spark, sf_dir):
+    wide = q_matrix_pivot_all(spark, sf_dir)
+    return matrix.unpivot_values(wide, ["coop"], [c for c in wide.columns if c != "coop"], "metric_code", "metric_value").where("metric_value is not null")
+
+
 _ANSWERS = ["answer_1", "answer_2", "answer_3", "answer_4"]
 _GONE = " AND ".join(f"coalesce(trim({a}) IN ('', '-1', 'Not reported'), true)" for a in _ANSWERS)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.functions import scalars
 from sessionloom.operators import cluster, extract, gazetteer, grading, lines, matrix, redact, survey, tagging
+from sessionloom.plans import reference
 from sessionloom.session import number_rows
 
 
@@ -155,6 +156,21 @@ def test_matrix(spark):
     assert [r.i for r in matrix.banner_rows(filled, "g", "i", "c").orderBy("i").collect()] == [1, 3]
 
 
+def test_pivot_keeps_every_code(spark, tiny):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "new_code", "y"), (2, "b", "z")], "r int, c string, value string")
+    names = matrix.distinct_names(df, "c")
+    assert names == ["a", "b", "new_code"]
+    wide = matrix.pivot_values(df, "r", "c", "value", names)
+    long = matrix.unpivot_values(wide, ["r"], names, "c", "value").where("value is not null")
+    assert {tuple(r) for r in long.collect()} == {tuple(r) for r in df.collect()}
+    for most, rows in ((2, df), (9, df.unionByName(spark.createDataFrame([(3, None, "q")], df.schema)))):
+        with pytest.raises(ValueError):
+            matrix.distinct_names(rows, "c", most)
+    evidence = spark.read.parquet(f"{tiny}/interview_evidence.parquet")
+    codes = {r[0] for r in evidence.select("metric_code").distinct().collect()}
+    assert set(reference.QUERIES["q_matrix_pivot_all"](spark, tiny).columns) == {"coop", *codes} and len(codes) == 36
+
+
 def test_survey_and_grading(spark):
     texts = spark.createDataFrame([("1", "A grant and a loan"), ("2", None)], "d string, t string")
     hits = survey.question_hits(texts, "d", "t", {"Q": ["grant", "loan", "x"]})
