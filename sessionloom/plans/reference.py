@@ -392,6 +392,17 @@ def q_residual_entities(spark, sf_dir):
     return grading.residual_entities(rows.select("doc_id", "kind", "surface"), rows.select("doc_id", "text"))
 
 
+@query(
+    rf"""SELECT tag_id AS doc_id, lower(substring(tag_category, 8)) AS kind, matched_text AS surface FROM {_TAGS} WHERE starts_with(tag_category, 'ENTITY_')
+    AND NOT regexp_full_match(matched_text, '[0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}})?(\.[0-9]+)?') AND regexp_matches(context, '(?is)(^|[^A-Za-z0-9_\[])' || regexp_escape(matched_text) || '($|[^A-Za-z0-9_\]])')"""
+)
+def q_residual_all_entities(spark, sf_dir):
+    """Every surface of the four ENTITY_ categories; q_residual_entities has persons and organisations of letters and blanks only."""
+    rows = _tags(spark, sf_dir).where("tag_category like 'ENTITY\\_%'")
+    rows = rows.select(F.col("tag_id").alias("doc_id"), F.lower(F.substring_index("tag_category", "_", -1)).alias("kind"), F.col("matched_text").alias("surface"), F.col("context").alias("text"))
+    return grading.residual_entities(rows.select("doc_id", "kind", "surface"), rows.select("doc_id", "text"))
+
+
 @query(
     r"""SELECT doc_id, regexp_matches(text, '[0-9]{2}:[0-9]{2}:[0-9]{2}') AS has_times, regexp_matches(text, '^WEBVTT') AS has_header, regexp_matches(text, '(?m)^[A-Z][A-Za-z0-9 ]*: ') AS has_dialogue,
     CAST(len(regexp_extract_all(text, '\[[A-Z]{1,3}\.[0-9]+\]')) AS BIGINT) AS citations, CAST(len(regexp_extract_all(text, '-->')) AS BIGINT) AS artifacts FROM documents"""

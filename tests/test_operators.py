@@ -171,6 +171,14 @@ def test_pivot_keeps_every_code(spark, tiny):
     assert set(reference.QUERIES["q_matrix_pivot_all"](spark, tiny).columns) == {"coop", *codes} and len(codes) == 36
 
 
+def test_residual_check_takes_every_surface(spark, tiny, tmp_path):
+    surfaces = [("ENTITY_Person", "E. Quillaxon"), ("ENTITY_Organization", "Iskarsully Land Tr."), ("ENTITY_Place", "Krellhutch-Falls"), ("ENTITY_Tribe", "Moro (Upper)"), ("ENTITY_Person", "É. Orú")]
+    tags = [(i, c, s, f"and {s} went", 1) for i, (c, s) in enumerate(surfaces)] + [(9, "ENTITY_Person", "E. Quill", "[E. Quill] and E. Quillaxon", 1), (10, "METRIC_Dollar", "a", "a", 1)]
+    spark.createDataFrame(tags, "tag_id long, tag_category string, matched_text string, context string, loaded_at long").write.parquet(f"{tmp_path}/transcript_tags.parquet")
+    got = reference.QUERIES["q_residual_all_entities"](spark, str(tmp_path)).collect()
+    assert {(r.kind, r.surface) for r in got} == {(c[7:].lower(), s) for c, s in surfaces}
+
+
 def test_survey_and_grading(spark):
     texts = spark.createDataFrame([("1", "A grant and a loan"), ("2", None)], "d string, t string")
     hits = survey.question_hits(texts, "d", "t", {"Q": ["grant", "loan", "x"]})
