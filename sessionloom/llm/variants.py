@@ -36,13 +36,13 @@ _DOTTED = re.compile(r"\b(?:[^\W\d_]\.){2,}")
 class Kind:
     """How names of one kind are parsed and compared.
 
-    ``parse`` turns (name, second name) into parts, ``compare`` two tuples of parts and their tokens' frequencies into
-    "same", "weak" (the first is a short form that may stand for the second) or None. ``rank`` tells full names from
-    short forms, ``refine`` gives what parts a block that is too large.
+    ``parse`` turns (name, second name) into parts, ``compare`` two tuples of parts, their tokens' frequencies and whether
+    their refining field is known and agrees into "same", "weak" (the first is a short form that may stand for the
+    second) or None. ``rank`` tells full names from short forms, ``refine`` gives what parts a block that is too large.
     """
 
     parse: Callable[[str | None, str | None], tuple[str, ...]]
-    compare: Callable[[tuple[str, ...], tuple[str, ...], dict[str, int]], str | None]
+    compare: Callable[[tuple[str, ...], tuple[str, ...], dict[str, int], bool], str | None]
     rank: Callable[[tuple[str, ...]], int]
     refine: Callable[[tuple[str, ...]], str]
 
@@ -70,10 +70,11 @@ def parse_person(first: str | None, last: str | None) -> tuple[str, ...]:
     return tokens[0], "".join([*middle, tokens[-1]])
 
 
-def typo(a: str, b: str, counts: dict[str, int]) -> bool:
+def typo(a: str, b: str, counts: dict[str, int], agree: bool = False) -> bool:
     """Whether two tokens are one token typed differently, by their longest-common-subsequence ratio.
 
-    Two tokens that many groups use are two established names, not a name and its misspelling.
+    Two tokens that many groups use are two established names, not a name and its misspelling; as a misspelling comes
+    again in a larger corpus, that holds only if nothing else about the two names agrees (``agree``).
     """
     if a == b:
         return True
@@ -82,7 +83,7 @@ def typo(a: str, b: str, counts: dict[str, int]) -> bool:
     if typing_errors(a, b, 2 + (min(len(a), len(b)) >= 9)) is None:
         return False
     low, high = sorted((counts.get(a, 1), counts.get(b, 1)))
-    return not (low >= 3 and low >= 0.15 * high)
+    return agree or not (low >= 3 and low >= 0.15 * high)
 
 
 def nickname(short: str, full: str) -> bool:
@@ -98,17 +99,17 @@ def nickname(short: str, full: str) -> bool:
     return False
 
 
-def compare_person(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, int]) -> str | None:
+def compare_person(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, int], agree: bool = False) -> str | None:
     """Same person, or ``a`` a short form of ``b``; swapped first and last names are tried too."""
     for x, y in ((a, b), (a, b[::-1])):
-        if min(map(len, x)) > 1 and min(map(len, y)) > 1 and typo(x[0], y[0], counts) and typo(x[1], y[1], counts):
+        if min(map(len, x)) > 1 and min(map(len, y)) > 1 and typo(x[0], y[0], counts, agree or x[1] == y[1]) and typo(x[1], y[1], counts, agree or x[0] == y[0]):
             if (typing_errors(x[0], y[0], 4) or 0) + (typing_errors(x[1], y[1], 4) or 0) <= 4:
                 return "same"
         if min(map(len, y)) < 1:
             continue
-        if x[0] and len(x[0]) < len(y[0]) and nickname(x[0], y[0]) and len(x[1]) > 1 and typo(x[1], y[1], counts):
+        if x[0] and len(x[0]) < len(y[0]) and nickname(x[0], y[0]) and len(x[1]) > 1 and typo(x[1], y[1], counts, agree):
             return "weak"
-        if len(x[1]) == 1 and len(x[0]) > 1 and len(y[1]) > 1 and y[1].startswith(x[1]) and typo(x[0], y[0], counts):
+        if len(x[1]) == 1 and len(x[0]) > 1 and len(y[1]) > 1 and y[1].startswith(x[1]) and typo(x[0], y[0], counts, agree):
             return "weak"
     return None
 
@@ -138,11 +139,11 @@ def _kind_word(a: str, b: str) -> bool:
     return a == b or abbreviates(a, b) or abbreviates(b, a) or (min(len(a), len(b)) > 3 and lcs_ratio(a, b) >= 0.75)
 
 
-def compare_organization(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, int]) -> str | None:
+def compare_organization(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, int], agree: bool = False) -> str | None:
     """Same organisation, or ``a`` an acronym or a shortened name of ``b``."""
     if len(a) == 1 and len(b) > 1:
         return "weak" if a[0] == "".join(t[0] for t in b) else None
-    if len(a) < 2 or len(a) > len(b) or not typo(a[0], b[0], counts):
+    if len(a) < 2 or len(a) > len(b) or not typo(a[0], b[0], counts, agree or a[1:] == b[1 : len(a)]):
         return None
     if not all(_kind_word(x, y) for x, y in zip(a[1:], b[1:], strict=False)):
         return None
@@ -166,9 +167,9 @@ def parse_district(name: str | None, _: str | None = None) -> tuple[str, ...]:
     return "".join(stem), unit, number
 
 
-def compare_district(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, int]) -> str | None:
+def compare_district(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, int], agree: bool = False) -> str | None:
     """Same district if name, unit and number agree; a name without its unit may stand for one with it."""
-    if a[2] != b[2] or not typo(a[0], b[0], counts):
+    if a[2] != b[2] or not typo(a[0], b[0], counts, agree or a[1] == b[1]):
         return None
     if a[1] == b[1]:
         return "same"
@@ -277,17 +278,18 @@ def _compare(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     side = nodes.select("node", "parts", "refine", "counts")
     both = pairs.join(nodes.select(F.col("node").alias("a"), "kind", *(F.col(c).alias(f"a_{c}") for c in side.columns[1:])), "a")
     both = both.join(side.select(F.col("node").alias("b"), *(F.col(c).alias(f"b_{c}") for c in side.columns[1:])), "b")
-    both = both.where("a_refine is null or b_refine is null or lower(a_refine) = lower(b_refine)").drop("a_refine", "b_refine")
+    both = both.withColumn("agree", F.expr("lower(a_refine) = lower(b_refine)")).where("agree is null or agree").drop("a_refine", "b_refine")
+    both = both.withColumn("agree", F.coalesce("agree", F.lit(False)))
 
     def relate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for kind, a, b, pa, pb, ca, cb in zip(*(batch[c] for c in ("kind", "a", "b", "a_parts", "b_parts", "a_counts", "b_counts")), strict=True):
+            for kind, a, b, pa, pb, ca, cb, agree in zip(*(batch[c] for c in ("kind", "a", "b", "a_parts", "b_parts", "a_counts", "b_counts", "agree")), strict=True):
                 compare = KINDS[kind].compare
                 counts = {**(dict(ca) if ca is not None else {}), **(dict(cb) if cb is not None else {})}
                 pa, pb = tuple(pa), tuple(pb)
-                forward = compare(pa, pb, counts)
-                backward = None if forward == "same" else compare(pb, pa, counts)
+                forward = compare(pa, pb, counts, agree)
+                backward = None if forward == "same" else compare(pb, pa, counts, agree)
                 if "same" in (forward, backward):
                     out.append((a, b, "same"))
                     continue

@@ -87,6 +87,15 @@ def test_link_variants(spark):
     assert {r.row_id for r in linked.collect()} == {r[0] for r in ROWS} - {12, 13, 14}
 
 
+def test_links_do_not_depend_on_the_number_of_groups(spark):
+    rows = [("person", "Wilavik", "Yelkovane", "x"), ("person", "Wilavik", "Yrlkovane", "x"), ("person", "Otlinda", "Wyntennick", None), ("person", "Wyntennick", "Orlinda", None), ("district", "Griskgorra Ward 2", None, "QA"), ("district", "Griscgorra Ward 2", None, "QA"), ("organization", "Pelokotte Land Trust", None, None), ("organization", "Pelocotte Land Trust", None, None)]
+    spelled = [(100 * g + i, kind, f"g{g}", name, second, refine) for g in range(4) for i, (kind, name, second, refine) in enumerate(rows)]
+    got = {frozenset((r.id_a, r.id_b)) for r in entity_pairs(link_variants(people(spark, spelled))).collect()}
+    assert got == {frozenset((100 * g + i, 100 * g + i + 1)) for g in range(4) for i in (0, 2, 4, 6)}
+    counts = {"zarnethko": 51, "felilisa": 145, "orlilisa": 119, "sabbethko": 46}
+    assert compare_person(("zarnethko", "felilisa"), ("orlilisa", "sabbethko"), counts) is None
+
+
 def test_empty_repeated_and_long(spark):
     df = people(spark, [(1, "person", "g", "Avery " * 5_000, "Stonefield", None), (1, "person", "g", "Avery " * 5_000, "Stonefield", None), (2, "person", "g", "Rowan", "Valecrest", None)])
     assert link_variants(df).count() == 3 and entity_pairs(link_variants(df)).count() == 0
