@@ -10,16 +10,15 @@ GRADES = [(0.93, "A"), (0.90, "A-"), (0.87, "B+"), (0.83, "B"), (0.80, "B-"), (0
 
 
 def base26(index: Column) -> Column:
-    """Bijective base-26 label of a 0-based index below 26 + 26**2 + 26**3: 0 is A, 25 Z, 26 AA; NULL for others."""
+    """Bijective base-26 label of a 0-based index: 0 is A, 25 Z, 26 AA, with as many letters as it needs; NULL for negative ones."""
     n = index.cast("long")
-    letter = lambda x: F.chr(F.lit(65) + x % 26)
-    two, three = n - 26, n - 26 - 26**2
-    return (
-        F.when(n < 0, None)
-        .when(n < 26, letter(n))
-        .when(two < 26**2, F.concat(letter(F.floor(two / 26)), letter(two)))
-        .when(three < 26**3, F.concat(letter(F.floor(three / 676)), letter(F.floor(three / 26)), letter(three)))
-    )
+    out, start = F.when(n < 0, None), 0
+    for size in range(1, 15):  # the greatest long has 14 letters
+        rest = n - F.lit(start)
+        label = F.concat(*(F.chr(F.lit(65) + F.call_function("div", rest, F.lit(26**k)) % 26) for k in reversed(range(size))))
+        start += 26**size
+        out = out.when(n < start, label) if size < 14 else out.when(n.isNotNull(), label)
+    return out
 
 
 def person_code(index: Column) -> Column:

@@ -40,7 +40,7 @@ def format_checks(text: DataFrame, key: str = "doc_id") -> DataFrame:
         t.rlike(r"[0-9]{2}:[0-9]{2}:[0-9]{2}").alias("has_times"),
         t.rlike(r"^WEBVTT").alias("has_header"),
         t.rlike(r"(?m)^[A-Z][A-Za-z0-9 ]*: ").alias("has_dialogue"),
-        F.regexp_count(t, F.lit(r"\[[A-Z]{1,3}\.[0-9]+\]")).cast("long").alias("citations"),
+        F.regexp_count(t, F.lit(r"\[[A-Z]+\.[0-9]+\]")).cast("long").alias("citations"),
         F.regexp_count(t, F.lit(r"-->")).cast("long").alias("artifacts"),
     )
 

@@ -52,12 +52,12 @@ def mark_ambiguous(text: Column, words: Sequence[str]) -> Column:
 
 def collapse_codes(text: Column) -> Column:
     """Repeats of one code as a single one."""
-    return F.regexp_replace(text, r"(#[A-Z]{1,3})(?:\s+\1)+(?![A-Za-z0-9_])", "$1")
+    return F.regexp_replace(text, r"(#[A-Z]+)(?:\s+\1)+(?![A-Za-z0-9_])", "$1")
 
 
 def drop_stray_codes(text: Column) -> Column:
     """A code before a greeting at the beginning of a line is dropped."""
-    return F.regexp_replace(text, r"(?m)^#[A-Z]{1,3}\s+(?=(?:Hello|Hi|Thanks|Good (?:morning|afternoon))\b)", "")
+    return F.regexp_replace(text, r"(?m)^#[A-Z]+\s+(?=(?:Hello|Hi|Thanks|Good (?:morning|afternoon))\b)", "")
 
 
 def replace_mapped(texts: DataFrame, mapping: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -53,7 +53,7 @@ def metric_tags(lines: DataFrame, least: float = 1000.0, key: str = "doc_id") ->
 
 def dialogue_tags(lines: DataFrame, metrics: DataFrame, key: str = "doc_id") -> DataFrame:
     """Dialogue kind of lines without a metric: a person code, a speaker letter or a verse mark at the beginning."""
-    kind = F.when(F.col("line").rlike(r"^#[A-Z]{1,3}\b"), "code").when(F.col("line").rlike(r"^[A-Z]{1,3}\. "), "letter").when(F.col("line").rlike(r"^\[[A-Z]{1,3}\.[0-9]+\]"), "verse")
+    kind = F.when(F.col("line").rlike(r"^#[A-Z]+\b"), "code").when(F.col("line").rlike(r"^[A-Z]{1,3}\. "), "letter").when(F.col("line").rlike(r"^\[[A-Z]+\.[0-9]+\]"), "verse")
     tagged = lines.withColumn("dialogue", kind).where("dialogue is not null")
     return tagged.join(metrics.select(key, "line_no").distinct(), [key, "line_no"], "left_anti").select(key, "line_no", "dialogue")
 

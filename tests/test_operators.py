@@ -25,6 +25,29 @@ def test_base26_and_clock(spark):
     assert values(spark, scalars.hhmmss(F.col("s")), [(3725.9,), (-4.0,), (None,)], "s double") == ["01:02:05", "00:00:00", "??:??:??"]
 
 
+def label(n):
+    out, n = "", n + 1
+    while n:
+        n, digit = divmod(n - 1, 26)
+        out = chr(65 + digit) + out
+    return out
+
+
+def test_codes_of_any_length(spark):
+    wanted = [0, 25, 26, 701, 702, 18_277, 18_278, 475_253, 475_254, 12_356_630, 2**31, 2**53 + 1, 2**63 - 1]
+    got = values(spark, scalars.base26(F.col("i")), [(i,) for i in [*wanted, None]], "i long")
+    assert got == [*map(label, wanted), None] and got[6] == "AAAA"
+    names = spark.range(18_300).select(F.lit("g").alias("g"), F.format_string("Name%05d", "id").alias("name"), F.lit(1).alias("n"))
+    codes = redact.assign_codes(names, "g")
+    assert codes.where("code is null").count() == 0 and codes.select("code").distinct().count() == 18_300
+    last = codes.where("name >= 'Name18277'").selectExpr("'1' as doc_id", "name as surface", "code")
+    text = redact.replace_mapped(spark.createDataFrame([("1", "Name18277 met Name18278")], "doc_id string, text string"), last)
+    assert text.first().text == "#ZZZ met #AAAA"
+    df = spark.createDataFrame([("#AAAB Hi #AAAA #AAAA went [AAAA.3]",)], "text string")
+    assert df.select(redact.collapse_codes(redact.drop_stray_codes(F.col("text")))).first()[0] == "Hi #AAAA went [AAAA.3]"
+    assert grading.format_checks(df.withColumn("doc_id", F.lit("1"))).first().citations == 1
+
+
 @pytest.mark.parametrize(("share", "grade"), [(0.93, "A"), (0.9299, "A-"), (0.90, "A-"), (0.87, "B+"), (0.83, "B"), (0.80, "B-"), (0.77, "C+"), (0.73, "C"), (0.70, "C-"), (0.67, "D+"), (0.60, "D"), (0.59, "F")])
 def test_letter_grades(spark, share, grade):
     assert values(spark, scalars.letter_grade(F.col("x")), [(share,)], "x double") == [grade]
