@@ -35,6 +35,7 @@ NOT_PERSON = frozenset(
 _WORDS = "|".join(DIGITS)
 _SPELLED = re.compile(rf"\b(?:{_WORDS})(?:[\s,.-]+(?:{_WORDS})){{4,}}\b", re.I)
 _AT = r"(?:\s*[\(\[\{<]\s*at\s*[\)\]\}>]\s*|\s+at\s+|@)"
+_BRACKETED_AT = re.compile(r"[\(\[\{<]\s*at\s*[\)\]\}>]")
 _DOT = r"(?:\s*[\(\[\{<]\s*dot\s*[\)\]\}>]\s*|\s+dot\s+|\.)"
 _DISGUISED = re.compile(rf"\b[A-Za-z0-9][\w+-]*(?:{_DOT}[\w+-]+)*({_AT})[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
 _NO_HOST = re.compile(r"\b(?:the|an?|of|to|in|and)\b", re.I)
@@ -185,14 +186,14 @@ def _one_script(text: str) -> str:
 def _deobfuscate(text: Text) -> list[tuple[int, int]]:
     """Rewrite spelled digits and at/dot disguises; spans of rewritten digits in the value."""
     lowered = text.value.lower()
-    if "dot" in lowered or "at)" in lowered or "at]" in lowered:
+    if "dot" in lowered or _BRACKETED_AT.search(lowered):
         at = []
         for m in _DISGUISED.finditer(text.value):
             marks = [d for d in _DISGUISE.finditer(m[0])]
             if not _NO_HOST.search(m[0], m.end(1) - m.start()) and any((d[1] or d[2]).lower() == "dot" for d in marks) or any("(" in d[0] or "[" in d[0] or "{" in d[0] or "<" in d[0] for d in marks):
                 at += [(m.start() + d.start(), m.start() + d.end(), "@" if (d[1] or d[2]).lower() == "at" else ".") for d in marks]
         text.rewrite(at)
-    runs = [m for m in _SPELLED.finditer(text.value)] if any(w in lowered for w in ("one", "two", "five", "zero", "oh ")) else []
+    runs = [m for m in _SPELLED.finditer(text.value)] if any(w in lowered for w in DIGITS) else []
     digits, shift, at = [], 0, []
     for m in runs:
         new = "".join(DIGITS[w] for w in re.findall(_WORDS, m[0].lower()))

@@ -55,6 +55,12 @@ def test_disguised_characters_map_back():
     assert redact(text, find_spans(text, LEXICON)) == "mail [EMAIL], call [PHONE]"
 
 
+@pytest.mark.parametrize("value", ["jane {at} host.org", "jane <at> host.org", "jane ( at ) host.org", "jane (AT ) host.org", "three four six seven eight nine three four six seven"])
+def test_prefilters_let_every_disguise_through(value):
+    (span,) = find_spans(f"Write to {value} soon")
+    assert f"Write to {value} soon"[span.start : span.end] == value
+
+
 def test_known_mentions():
     assert found("so elder gsrigus pennel told me", "elder gsrigus pennel") == {("name", "gsrigus pennel")}
 
