@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sessionloom.llm.mixing import mix_sources, period_slots
+from sessionloom.llm.mixing import block_slots, mix_sources
 from sessionloom.llm.packing import container_fill, pack_documents
 from sessionloom.llm.tokens import encoder, with_token_count
 
@@ -43,21 +43,51 @@ def test_packing_edge_cases(spark):
     assert pack_documents(df.limit(0), CAPACITIES, "doc_id", "text").count() == 0
 
 
-@pytest.mark.parametrize("weights", [{"a": 0.3, "b": 0.12, "c": 0.16, "d": 0.42}, {"a": 1.0}, {"a": 1.0, "b": 1.0, "c": 1.0}, {"a": 0.999, "b": 0.001}])
-def test_schedule_deviates_by_less_than_a_block(weights):
-    slots = period_slots(weights, 1_000)
-    assert sorted(s for v in slots.values() for s in v) == list(range(1_000))
+@pytest.mark.parametrize("blocks", [{"a": 300, "b": 120, "c": 160, "d": 420}, {"a": 9}, {"a": 333, "b": 333, "c": 334}, {"a": 2_499, "b": 1}, {"a": 7, "b": 0, "c": 5}, {}])
+def test_schedule_deviates_by_less_than_a_block(blocks):
+    slots = block_slots(blocks)
+    total = sum(blocks.values())
+    assert sorted(s for v in slots.values() for s in v) == list(range(total)) and {n: len(v) for n, v in slots.items()} == blocks
     for own in slots.values():
         done = 0
-        for t in range(1, 1_001):
+        for t in range(1, total + 1):
             done += done < len(own) and own[done] < t
-            assert abs(done - len(own) * t / 1_000) < 1
+            assert abs(done - len(own) * t / total) < 1
 
 
 def documents(spark, rows):
     return spark.createDataFrame([(i, s, n, "clash") for i, (s, n) in enumerate(rows)], "doc_id long, source string, n_tokens long, slot string")
 
 
+def furthest(draws, shares):
+    """The most tokens by which a source is away from its share of the mix, after any slot."""
+    done, most, last = dict.fromkeys(shares, 0), 0, None
+    for r in draws.orderBy("slot", "place").collect():
+        if r.slot != last:
+            most, last = max([most, *(abs(done[s] - w * sum(done.values())) for s, w in shares.items())]), r.slot
+        done[r.source] += r.n_tokens
+    return most
+
+
+def test_documents_longer_than_a_block(spark):
+    rows = [("long", 900 + i) for i in range(40)] + [("short", 7)] * 6_000
+    targets = spark.createDataFrame([("long", 0.5, 1), ("short", 0.5, 1)], "source string, target_share double, max_repeats int")
+    draws, shares = mix_sources(documents(spark, rows), targets, block=100)
+    assert furthest(draws, {"long": 0.5, "short": 0.5}) < 100 + 939
+    assert all(r.share == pytest.approx(0.5, abs=0.01) for r in shares.collect())
+
+
+def test_tiny_sources_are_drawn(spark):
+    rows = [("big", 100)] * 5_000 + [("tiny", 10)] * 30 + [("least", 1)]
+    targets = spark.createDataFrame([("big", 0.9996, 1), ("tiny", 0.0004, 1), ("least", 1e-7, 1), ("tiny", 0.0001, 1)], "source string, target_share double, max_repeats int")
+    draws, shares = mix_sources(documents(spark, rows), targets)
+    got = {r.source: r for r in shares.collect()}
+    assert got["tiny"].tokens == pytest.approx(200, abs=10) and got["least"].draws <= 1 and len(got) == 3
+    assert draws.where("slot is null").count() == 0
+    with pytest.raises(ValueError):
+        mix_sources(documents(spark, rows), targets, most_slots=2)
+
+
 def test_mix_meets_shares_and_caps(spark):
     rows = [("big", 50 + i % 7) for i in range(900)] + [("mid", 80)] * 200 + [("rare", 30)] * 20 + [("none", 10)] * 50 + [(None, 10), ("big", None), ("big", 0)]
     targets = spark.createDataFrame([("big", 0.6, 1), ("mid", 0.3, 2), ("rare", 0.1, 4), ("gone", 0.2, 3)], "source string, target_share double, max_repeats int")
@@ -68,11 +98,7 @@ def test_mix_meets_shares_and_caps(spark):
         assert got[name].share == pytest.approx(share, abs=0.01)
     per = draws.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("repeats").alias("r"), F.max("repeat_no").alias("last"))
     assert per.where("n <> r or n <> last").count() == 0
-    order = [(r.source, r.n_tokens) for r in draws.orderBy("slot", "place").collect()]
-    total, big = 0, 0
-    for source, n in order:
-        total, big = total + n, big + n * (source == "big")
-        assert abs(big - 0.6 * total) < 2 * 256
+    assert furthest(draws, {"big": 0.6, "mid": 0.3, "rare": 0.1}) < 256 + 80
     assert draws.where("source is null or source = 'none'").count() == 0
 
 
