@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.llm.tokens import token_vectors
+from sessionloom.llm.tokens import FOLDER, VOCABULARY, encoder, token_vectors
 from sessionloom.session import cut
 
 K1, B = 1.2, 0.75
@@ -33,33 +33,42 @@ class Corpus:
 
 
 class ShardIndex:
-    """BM25 inverted index over the documents of a shard."""
+    """BM25 inverted index over the documents of a shard; a query is every term of a document.
 
-    def __init__(self, sizes: np.ndarray, terms: list[np.ndarray], tfs: list[np.ndarray], corpus: Corpus, query_terms: int = 12) -> None:
+    Terms that more than a twentieth of the shard hold are kept as columns of a matrix, whose product gives all scores
+    of all documents at once; the others have posting lists. Both together are the exact BM25 score.
+    """
+
+    def __init__(self, sizes: np.ndarray, terms: list[np.ndarray], tfs: list[np.ndarray], corpus: Corpus) -> None:
         self.size = sizes.size
         doc = np.repeat(np.arange(sizes.size), [t.size for t in terms])
         term = np.concatenate(terms) if terms else np.zeros(0, dtype=np.uint32)
         tf = (np.concatenate(tfs) if tfs else np.zeros(0)).astype(np.float32)
         df = corpus.frequency[term].astype(np.float32)
         idf = np.log1p((corpus.documents - df + 0.5) / (df + 0.5))
-        weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[doc] / max(corpus.mean_size, 1.0)))
-        starts = np.concatenate([[0], np.cumsum([t.size for t in terms])]).astype(int)
-        self.queries = []
-        for i in range(sizes.size):
-            own = weight[starts[i] : starts[i + 1]]
-            top = np.argpartition(-own, query_terms)[:query_terms] if own.size > query_terms else np.arange(own.size)
-            self.queries.append(term[starts[i] : starts[i + 1]][top])
-        order = np.argsort(term, kind="stable")
-        self.term, self.doc, self.weight = term[order], doc[order], weight[order]
+        weight = (idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[doc] / max(corpus.mean_size, 1.0)))).astype(np.float32)
+        distinct, column, held = np.unique(term, return_inverse=True, return_counts=True)
+        dense = held > max(8, sizes.size // 20)
+        place = np.cumsum(dense) - 1
+        common = dense[column]
+        matrix = np.zeros((sizes.size, int(dense.sum())), dtype=np.float32)
+        matrix[doc[common], place[column[common]]] = weight[common]
+        self.common = (matrix > 0).astype(np.float32) @ matrix.T
+        doc, column, weight = doc[~common], column[~common], weight[~common]
+        order = np.argsort(column, kind="stable")
+        self.doc, self.weight = doc[order], weight[order]
+        rare = column[order]
+        self.first, self.last = np.searchsorted(rare, column, "left"), np.searchsorted(rare, column, "right")
+        self.at = np.searchsorted(doc, np.arange(sizes.size + 1))
 
     def scores(self, document: int) -> np.ndarray:
-        """BM25 scores of all documents of the shard against the strongest terms of one of them."""
-        out = np.zeros(self.size, dtype=np.float32)
-        query = self.queries[document]
-        first, last = np.searchsorted(self.term, query, "left"), np.searchsorted(self.term, query, "right")
-        for a, b in zip(first, last, strict=True):
-            out[self.doc[a:b]] += self.weight[a:b]
-        return out
+        """BM25 scores of all documents of the shard against all terms of one of them."""
+        own = slice(self.at[document], self.at[document + 1])
+        first, count = self.first[own], self.last[own] - self.first[own]
+        if not first.size:
+            return self.common[document]
+        postings = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return self.common[document] + np.bincount(self.doc[postings], self.weight[postings], self.size)
 
 
 def pack(index: ShardIndex, sizes: np.ndarray, capacity: int) -> list[tuple[int, int, int, int]]:
@@ -141,17 +150,17 @@ def document_frequency(vectors: DataFrame, vocabulary: int) -> np.ndarray:
     return out
 
 
-def pack_documents(documents: DataFrame, containers: list[tuple[str, int]], key: str, text: str, vocabulary: int = 50_257, shard_documents: int = 2_000) -> DataFrame:
+def pack_documents(documents: DataFrame, containers: list[tuple[str, int]], key: str, text: str, folder: str = FOLDER, vocabulary: str = VOCABULARY, shard_documents: int = 2_000) -> DataFrame:
     """Containers of every document: ``container``, ``container_id``, ``key``, ``part``, ``n_tokens``.
 
     ``containers`` are (name, capacity in tokens). Every document goes into exactly one container of each name; one
     larger than the capacity fills as many as it needs. NULL and blank texts count as zero tokens and go in with
     others; repeated rows are packed each; an empty table gives no rows. ``shard_documents`` is the mean size of a
-    shard.
+    shard; ``folder`` and ``vocabulary`` name the tokenizer, the number of whose tokens bounds the corpus statistics.
     """
-    vectors = cut(token_vectors(documents, key, text))
+    vectors = cut(token_vectors(documents, key, text, folder, vocabulary))
     stats = vectors.agg(F.count("*").alias("n"), F.avg("n_tokens").alias("mean")).first()
-    corpus = Corpus(stats["n"], stats["mean"] or 0.0, document_frequency(vectors, vocabulary))
+    corpus = Corpus(stats["n"], stats["mean"] or 0.0, document_frequency(vectors, encoder(folder, vocabulary).n_vocab))
     shards = max(1, round(stats["n"] / shard_documents))
     schema = f"container string, container_id string, `{key}` {documents.schema[key].dataType.simpleString()}, part int, n_tokens long"
 
@@ -159,7 +168,7 @@ def pack_documents(documents: DataFrame, containers: list[tuple[str, int]], key:
         shard = shard.sort_values(key, kind="stable", ignore_index=True)
         sizes = shard["n_tokens"].to_numpy()
         terms = [np.frombuffer(t, dtype=np.uint32) for t in shard["terms"]]
-        index = ShardIndex(sizes, terms, [np.frombuffer(t, dtype=np.uint8) for t in shard["tfs"]], corpus)
+        index = ShardIndex(sizes, terms, [np.frombuffer(t, dtype=np.uint32) for t in shard["tfs"]], corpus)
         parts = []
         for name, capacity in containers:
             plan = np.array(pack(index, sizes, capacity), dtype=np.int64).reshape(-1, 4)

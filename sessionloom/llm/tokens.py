@@ -45,7 +45,7 @@ def with_token_count(documents: DataFrame, text: str, name: str = "n_tokens", fo
 
 
 def token_vectors(documents: DataFrame, key: str, text: str, folder: str = FOLDER, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``key``, ``n_tokens`` and the distinct tokens with their frequencies, packed: ``terms`` (uint32), ``tfs`` (uint8, at most 255)."""
+    """``key``, ``n_tokens`` and the distinct tokens with their frequencies, packed: ``terms`` and ``tfs`` (uint32)."""
     schema = f"`{key}` {documents.schema[key].dataType.simpleString()}, n_tokens long, terms binary, tfs binary"
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,7 +57,7 @@ def token_vectors(documents: DataFrame, key: str, text: str, folder: str = FOLDE
                 unique, counts = np.unique(ids, return_counts=True)
                 sizes.append(ids.size)
                 terms.append(unique.tobytes())
-                tfs.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+                tfs.append(counts.astype(np.uint32).tobytes())
             yield pd.DataFrame({key: batch[key], "n_tokens": sizes, "terms": terms, "tfs": tfs})
 
     return documents.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInPandas(vectors, schema)

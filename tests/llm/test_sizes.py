@@ -1,10 +1,11 @@
 """Container packing and source mixing: constraints, brute force, edge cases."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sessionloom.llm.mixing import block_slots, mix_sources
-from sessionloom.llm.packing import container_fill, pack_documents
+from sessionloom.llm.packing import Corpus, ShardIndex, container_fill, pack_documents
 from sessionloom.llm.tokens import encoder, with_token_count
 
 CAPACITIES = [("small", 40), ("large", 200)]
@@ -35,6 +36,24 @@ def test_packing_constraints(spark, tiny):
     assert {r.container: r.documents for r in container_fill(plan, capacities).collect()} == {n: len(sizes) for n, _ in CAPACITIES}
 
 
+def test_scores_are_bm25_over_all_terms():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 60 if i % 3 else 400, rng.integers(0, 120)) for i in range(90)]
+    sizes = np.array([t.size for t in texts])
+    packed = [np.unique(t.astype(np.uint32), return_counts=True) for t in texts]
+    frequency = np.bincount(np.concatenate([t for t, _ in packed]), minlength=400) * 3
+    corpus = Corpus(270, float(sizes.mean()), frequency)
+    index = ShardIndex(sizes, [t for t, _ in packed], [n.astype(np.uint32) for _, n in packed], corpus)
+    for a in range(90):
+        want = np.zeros(90)
+        for b, (terms, counts) in enumerate(packed):
+            for term, tf in zip(terms, counts, strict=True):
+                if term in packed[a][0]:
+                    idf = np.log1p((270 - frequency[term] + 0.5) / (frequency[term] + 0.5))
+                    want[b] += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * sizes[b] / sizes.mean()))
+        assert np.allclose(index.scores(a), want, rtol=1e-4, atol=1e-4)
+
+
 def test_packing_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, "wool " * 50_000), (4, "wool"), (4, "wool")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
