@@ -12,8 +12,8 @@ import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,17 +84,39 @@ class Span:
 
 
 class NameLexicon:
-    """First and last names (folded) with their shortened forms, learned from labelled rows."""
-
-    def __init__(self, first: Sequence[str], last: Sequence[str]) -> None:
-        self.first, self.last = frozenset(first), frozenset(last)
-        self.near: dict[str, list[str]] = {}
-        for name in self.first | self.last:
-            for key in _deletes(name):
-                self.near.setdefault(key, []).append(name)
-        self.starts = frozenset(name[:n] for name in self.first for n in (2, 3, 4) if len(name) > n)
-        self.edges = frozenset(name[:3] for name in self.first | self.last) | frozenset(name[-4:] for name in self.first | self.last)
+    """First and last names with their shortened forms, learned from labelled rows; spelled as ``joined_name`` gives them.
+
+    Names of less than four letters count as nicknames, which need a name beside them. Misspellings, nicknames and like
+    words are measured against the ``established`` names only (all of them if None): a name seen once may itself be a
+    misspelling, and counts where it stands as it was seen. Only the names travel to the workers; the index of near
+    spellings (a hash and a number per letter left out) is made where it is first used.
+    """
+
+    def __init__(self, first: Sequence[str], last: Sequence[str], established: Sequence[str] | None = None) -> None:
+        self.first, self.last = (frozenset(n for n in names if len(n) >= 4 and n not in NOT_PERSON) for names in (first, last))
+        self.short = frozenset(n for names in (first, last) for n in names if 1 < len(n) < 4)
+        known = self.first | self.last
+        self.known = known if established is None else known & frozenset(established)
+        self.starts = frozenset(name[:n] for name in self.first & self.known for n in (2, 3, 4) if len(name) > n)
+        self.edges = frozenset(name[:3] for name in self.known) | frozenset(name[-4:] for name in self.known)
         self.roles: dict[str, str] = {}
+        self.index: tuple[list[str], np.ndarray, np.ndarray] | None = None
+
+    def __reduce__(self):
+        return NameLexicon, (sorted(self.first | self.short), sorted(self.last), sorted(self.known))
+
+    def near(self, word: str) -> bool:
+        """Whether an established name lies within two edits of ``word`` and shares it or a one-letter deletion of it."""
+        if self.index is None:
+            names = sorted(self.known)
+            pairs = [(hash(key), i) for i, name in enumerate(names) for key in _deletes(name)]
+            hashes, ids = (np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, dtype=np.int64),) * 2
+            order = np.argsort(hashes, kind="stable")
+            self.index = names, hashes[order], ids[order].astype(np.int32)
+        names, hashes, ids = self.index
+        keys = np.array([hash(k) for k in _deletes(word)], dtype=np.int64)
+        spans = zip(np.searchsorted(hashes, keys, "left"), np.searchsorted(hashes, keys, "right"), strict=True)
+        return any(within(word, names[i], 2) for low, high in spans for i in ids[low:high])
 
     def role(self, token: str) -> str:
         """F first, L last, B both, f misspelt name, N possible nickname, I initial, '' none of these."""
@@ -109,20 +131,25 @@ class NameLexicon:
         word = token.rstrip(".")
         if len(word) == 1:
             return "I" if token.endswith(".") else ""
-        folded = "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c)).casefold()
-        for ending in ("'s", "’s"):
-            folded = folded.removesuffix(ending)
-        joined = folded.replace("-", "").replace("'", "").replace("’", "")
+        joined = joined_name(re.sub("['’]s$", "", word))
         first, last = joined in self.first, joined in self.last
         if first or last:
             return "B" if first and last else "F" if first else "L"
-        if len(joined) >= 6 and any(within(joined, name, 2) for k in _deletes(joined) for name in self.near.get(k, ())):
+        if len(joined) >= 6 and self.near(joined):
             return "f"
+        if joined in self.short:
+            return "N"
         if len(joined) <= 5 and any(joined.endswith(e) and 2 + (not e) <= len(joined) - len(e) <= 4 and joined[: len(joined) - len(e)] in self.starts for e in NICK_ENDINGS):
             return "N"
         return ""
 
 
+def joined_name(word: str) -> str:
+    """A name for comparison: no letter case, no accents, its parts joined over blanks, hyphens and apostrophes."""
+    bare = "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c))
+    return "".join(c for c in bare.casefold() if c.isalpha())
+
+
 def _deletes(word: str) -> set[str]:
     return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))} if len(word) >= 5 else {word}
 
@@ -204,11 +231,10 @@ def _deobfuscate(text: Text) -> list[tuple[int, int]]:
     return digits
 
 
-def find_spans(source: str | None, lexicon: NameLexicon | None = None, mention: str | None = None) -> list[Span]:
+def find_spans(source: str | None, lexicon: NameLexicon | None = None) -> list[Span]:
     """Spans of personal information in ``source``, in order and without overlaps.
 
-    ``mention`` is a stretch of the text already known to be a person's name. NULL and empty texts have none; texts of
-    any length are searched whole.
+    NULL and empty texts have none; texts of any length are searched whole.
     """
     if not source:
         return []
@@ -237,19 +263,9 @@ def find_spans(source: str | None, lexicon: NameLexicon | None = None, mention:
         for start, end in spelled:
             if end - start >= _SPELLED_PHONE:
                 take("phone", start, end)
-    if mention:
-        start, end = _untitled(mention)
-        bare = mention[start:end]
-        at = source.find(bare) if bare else -1
-        while at >= 0:
-            if not any(s.start < at + len(bare) and at < s.end for s in found):
-                found.append(Span("name", at, at + len(bare)))
-            at = source.find(bare, at + len(bare))
     if lexicon is not None:
         for start, end in _names(value, taken, lexicon):
-            span = text.span("name", start, end)
-            if not any(s.start < span.end and span.start < s.end for s in found):
-                found.append(span)
+            take("name", start, end)
     return sorted(found, key=lambda s: s.start)
 
 
@@ -274,19 +290,6 @@ def _addresses(value: str) -> Iterator[tuple[int, int]]:
         yield m.start(), end
 
 
-@lru_cache(maxsize=1 << 16)
-def _untitled(mention: str) -> tuple[int, int]:
-    """The span of a mention without titles and outer blanks."""
-    start, end = 0, len(mention.rstrip())
-    while True:
-        while start < end and mention[start].isspace():
-            start += 1
-        word = re.match(r"[^\W\d_]+\.?", mention[start:end])
-        if not word or word[0].rstrip(".").lower() not in TITLES or start + word.end() >= end:
-            return start, end
-        start += word.end()
-
-
 def _names(value: str, taken: bytearray, lexicon: NameLexicon) -> Iterator[tuple[int, int]]:
     tokens = [m for m in _NAME_TOKEN.finditer(value) if m[0][0].isupper() and not taken[m.start()]]
     i = 0
@@ -346,24 +349,42 @@ def _like_name(token: str, lexicon: NameLexicon) -> bool:
     return token[0].isupper() and len(word) >= 5 and word not in NOT_PERSON and (word[:3] in lexicon.edges or word[-4:] in lexicon.edges)
 
 
-def learn_names(names: DataFrame, first: str, last: str, most: int = 20_000, least: int = 2) -> NameLexicon:
-    """A lexicon of the ``most`` most frequent first and last names of labelled rows, each seen ``least`` times or more.
+def learn_names(labelled: DataFrame, first: str, last: str, sample_rows: int = 250_000) -> NameLexicon:
+    """A lexicon fitted on labelled rows: every first and last name of at most about ``sample_rows`` of them.
 
-    A column may hold the other's names in some rows: a name counts as what it is in at least a third of them. The collected lexicon is
-    bounded by ``most`` whatever the table's size.
+    All rows count while there are no more than that; beyond it a share of them is drawn by the hash of the names, so
+    the collected lexicon holds at most two names per drawn row whatever the size of the table. Rows with a NULL or
+    blank name teach nothing; names seen twice or more are established. A column may hold the other's names in some rows: a name counts as what it is in at least
+    a third of its rows.
+    """
+    pairs = labelled.select(F.trim(f"`{first}`").alias("first"), F.trim(f"`{last}`").alias("last")).where("first <> '' and last <> ''")
+    parts = max(1, -(-pairs.count() // sample_rows))
+    drawn = pairs.where(F.pmod(F.xxhash64("first", "last"), F.lit(parts)) == 0)
+    each = F.array(F.struct(F.col("first").alias("name"), F.lit(1).alias("is_first")), F.struct(F.col("last").alias("name"), F.lit(0).alias("is_first")))
+    rows = drawn.select(F.explode(each).alias("n")).select("n.*").groupBy("name").agg(F.sum("is_first").alias("first"), F.count("*").alias("n")).collect()
+    counts: dict[str, list[int]] = {}
+    for r in rows:
+        if name := joined_name(r["name"]):
+            own = counts.setdefault(name, [0, 0])
+            own[0] += r["first"]
+            own[1] += r["n"] - r["first"]
+    first, last = [n for n, (a, b) in counts.items() if 2 * a >= b], [n for n, (a, b) in counts.items() if 2 * b >= a]
+    return NameLexicon(first, last, [n for n, (a, b) in counts.items() if a + b > 1])
+
+
+def split_mentions(mentions: DataFrame, mention: str) -> DataFrame:
+    """(first, last) of mentions of people, in either order ("First Last", "Last, First"), titles and middle names aside.
+
+    NULL mentions and those of one word give no row.
     """
-    labelled = names.where(F.col(f"`{first}`").isNotNull() & F.col(f"`{last}`").isNotNull())
-    parts = labelled.select(
-        F.explode(
-            F.array(
-                F.struct(F.lower(F.trim(f"`{first}`")).alias("name"), F.lit(1).alias("is_first"), F.lit(0).alias("is_last")),
-                F.struct(F.lower(F.trim(f"`{last}`")).alias("name"), F.lit(0).alias("is_first"), F.lit(1).alias("is_last")),
-            )
-        ).alias("n")
-    ).select("n.*")
-    counted = parts.where(r"name rlike '^[a-z]{4,}$'").groupBy("name").agg(F.sum("is_first").alias("first"), F.sum("is_last").alias("last"))
-    rows = counted.where(F.col("first") + F.col("last") >= least).orderBy(F.desc(F.col("first") + F.col("last")), "name").limit(most).collect()
-    return NameLexicon([r["name"] for r in rows if 2 * r["first"] >= r["last"]], [r["name"] for r in rows if 2 * r["last"] >= r["first"]])
+    bare = F.regexp_replace(F.trim(f"`{mention}`"), r"(?i)^(?:(?:" + "|".join(sorted(TITLES)) + r")\.?\s+)+", "")
+    comma, tokens = F.split(bare, r"\s*,\s*"), F.split(bare, r"\s+")
+    two = F.size(comma) == 2
+    named = mentions.select(
+        F.when(two, F.element_at(F.split(F.get(comma, 1), r"\s+"), 1)).otherwise(F.get(tokens, 0)).alias("first"),
+        F.when(two, F.get(comma, 0)).when(F.size(tokens) > 1, F.element_at(tokens, -1)).alias("last"),
+    )
+    return named.where("first is not null and last is not null")
 
 
 def redact(source: str | None, spans: Sequence[Span]) -> str | None:
@@ -378,7 +399,7 @@ def redact(source: str | None, spans: Sequence[Span]) -> str | None:
 
 
 def find_personal(rows: DataFrame, lexicon: NameLexicon | None) -> DataFrame:
-    """``rows`` (field_name, row_id, text, mention) with ``redacted`` and ``found`` (kind, surface, start), whole texts.
+    """``rows`` (field_name, row_id, text) with ``redacted`` and ``found`` (kind, surface, start), whole texts.
 
     NULL texts stay NULL with nothing found; repeated rows are kept; other columns are not read.
     """
@@ -387,11 +408,11 @@ def find_personal(rows: DataFrame, lexicon: NameLexicon | None) -> DataFrame:
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             redacted, found = [], []
-            for text, mention in zip(batch["text"], batch["mention"], strict=True):
+            for text in batch["text"]:
                 text = None if pd.isna(text) else text
-                spans = find_spans(text, lexicon, None if pd.isna(mention) else mention)
+                spans = find_spans(text, lexicon)
                 redacted.append(redact(text, spans))
                 found.append([{"kind": s.kind, "surface": text[s.start : s.end], "start": s.start} for s in spans])
             yield pd.DataFrame({"field_name": batch["field_name"], "row_id": batch["row_id"], "redacted": redacted, "found": found})
 
-    return rows.select("field_name", "row_id", "text", "mention").mapInPandas(search, schema)
+    return rows.select("field_name", "row_id", "text").mapInPandas(search, schema)

@@ -12,7 +12,7 @@ from sessionloom.llm.confusables import clean_dictionary
 from sessionloom.llm.lines import label_pages, learn_lines
 from sessionloom.llm.mixing import mix_sources
 from sessionloom.llm.packing import container_fill, pack_documents
-from sessionloom.llm.personal import find_personal, learn_names
+from sessionloom.llm.personal import find_personal, learn_names, split_mentions
 from sessionloom.llm.tokens import with_token_count
 from sessionloom.llm.variants import entity_pairs, link_variants
 from sessionloom.session import table
@@ -31,13 +31,13 @@ def _tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contexts, quotes and notes with typed placeholders, and what was found in them."""
-    lexicon = learn_names(table(spark, sf_dir, "native_american_names"), "first_name", "last_name")
-    mention = F.when(F.col("tag_category") == "ENTITY_Person", F.col("matched_text"))
-    nothing = F.lit(None).cast("string").alias("mention")
+    people = table(spark, sf_dir, "transcript_tags").where("tag_category = 'ENTITY_Person'")
+    rolls = table(spark, sf_dir, "native_american_names").selectExpr("first_name as first", "last_name as last")
+    lexicon = learn_names(rolls.unionByName(split_mentions(people, "matched_text")), "first", "last")
     rows = [
-        _field(table(spark, sf_dir, "transcript_tags"), "transcript_tags.context", "tag_id", "context", mention.alias("mention")),
-        _field(table(spark, sf_dir, "interview_quotes"), "interview_quotes.quote", "quote_id", "quote", nothing),
-        _field(table(spark, sf_dir, "interview_evidence"), "interview_evidence.note", "evidence_id", "note", nothing),
+        _field(table(spark, sf_dir, "transcript_tags"), "transcript_tags.context", "tag_id", "context"),
+        _field(table(spark, sf_dir, "interview_quotes"), "interview_quotes.quote", "quote_id", "quote"),
+        _field(table(spark, sf_dir, "interview_evidence"), "interview_evidence.note", "evidence_id", "note"),
     ]
     return find_personal(reduce(DataFrame.unionByName, rows).withColumnRenamed("value", "text"), lexicon)
 

@@ -1,5 +1,7 @@
 """Personal information, confusables and line labels."""
 
+import pickle
+
 import pandas as pd
 import pytest
 from hypothesis import given, settings
@@ -7,13 +9,13 @@ from hypothesis import strategies as st
 
 from sessionloom.llm.confusables import clean_dictionary, clean_text
 from sessionloom.llm.lines import Labeller, count_lines, fit, label_pages, learn_lines
-from sessionloom.llm.personal import NameLexicon, find_personal, find_spans, learn_names, redact
+from sessionloom.llm.personal import NameLexicon, find_personal, find_spans, learn_names, redact, split_mentions
 
 LEXICON = NameLexicon(["avery", "rowan", "marisol", "tamsin"], ["stonefield", "valecrest", "underhill"])
 
 
-def found(text, mention=None, lexicon=LEXICON):
-    return {(s.kind, text[s.start : s.end]) for s in find_spans(text, lexicon, mention)}
+def found(text, lexicon=LEXICON):
+    return {(s.kind, text[s.start : s.end]) for s in find_spans(text, lexicon)}
 
 
 @pytest.mark.parametrize(
@@ -61,8 +63,11 @@ def test_prefilters_let_every_disguise_through(value):
     assert f"Write to {value} soon"[span.start : span.end] == value
 
 
-def test_known_mentions():
-    assert found("so elder gsrigus pennel told me", "elder gsrigus pennel") == {("name", "gsrigus pennel")}
+def test_names_are_whole_words_in_any_disguise():
+    lexicon = NameLexicon(["al", "oru", "avery"], ["vale", "stonefield"])
+    assert found("Also Al Vale said it, Alaska", lexicon) == {("name", "Al Vale")}
+    assert found("Oru went to Oruville, and Averyt did too", lexicon) == set()
+    assert found("so Аvery\u200b Stоnefield told me", lexicon) == {("name", "Аvery\u200b Stоnefield")}
 
 
 @settings(max_examples=60, deadline=None)
@@ -73,8 +78,8 @@ def test_spans_stay_in_order_on_any_text(text):
 
 
 def test_find_personal_edge_cases(spark):
-    rows = [("f", 1, None, None, "x"), ("f", 2, "", None, "x"), ("f", 3, "word " * 100_000 + "a@b.example", None, "x"), ("f", 3, "a@b.example", None, "x"), ("f", None, "a@b.example", None, None)]
-    df = spark.createDataFrame(rows, "field_name string, row_id long, text string, mention string, found string")
+    rows = [("f", 1, None, "x"), ("f", 2, "", "x"), ("f", 3, "word " * 100_000 + "a@b.example", "x"), ("f", 3, "a@b.example", "x"), ("f", None, "a@b.example", None)]
+    df = spark.createDataFrame(rows, "field_name string, row_id long, text string, found string")
     got = find_personal(df, None).collect()
     assert [(r.row_id, r.redacted, len(r.found)) for r in got if r.row_id in (1, 2)] == [(1, None, 0), (2, "", 0)]
     assert [len(r.found) for r in got if r.row_id == 3] == [1, 1] and len(got) == 5
@@ -82,10 +87,19 @@ def test_find_personal_edge_cases(spark):
 
 
 def test_learn_names(spark):
-    rows = [("Avery", "Stonefield")] * 3 + [("Stonefield", "Avery"), (None, "Vale"), ("Rowan", None), ("Once", "Seen"), ("", "")]
+    rows = [("Avery", "Stonefield")] * 3 + [("Stonefield", "Avery"), (None, "Vale"), ("Rowan", None), ("Once", "Seen"), ("", ""), ("Al", "d’Orú-Vale"), ("A.", "Fisheries")]
     lexicon = learn_names(spark.createDataFrame(rows, "first string, last string"), "first", "last")
-    assert lexicon.first == {"avery"} and lexicon.last == {"stonefield"}
+    assert lexicon.first == {"avery", "once"} and lexicon.last == {"stonefield", "seen", "doruvale"} and lexicon.short == {"al"}
+    assert lexicon.known == {"avery", "stonefield"}
+    assert found("I met Al D'Orú-Vale.", pickle.loads(pickle.dumps(lexicon))) == {("name", "Al D'Orú-Vale")}
     assert not learn_names(spark.createDataFrame([], "first string, last string"), "first", "last").first
+    many = spark.range(5_000).selectExpr("concat('first', chr(97 + id div 200), chr(97 + id % 26)) as first", "concat('last', id) as last")
+    assert 0 < len(learn_names(many, "first", "last", sample_rows=500).first) <= 1_000
+
+
+def test_split_mentions(spark):
+    rows = spark.createDataFrame([("Elder Avery J. Stonefield",), ("Stonefield, Avery J.",), ("Avery",), (None,), ("A. Stonefield",)], "m string")
+    assert [tuple(r) for r in split_mentions(rows, "m").collect()] == [("Avery", "Stonefield"), ("Avery", "Stonefield"), ("A.", "Stonefield")]
 
 
 @pytest.mark.parametrize(
