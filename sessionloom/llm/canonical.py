@@ -1,25 +1,27 @@
 """Free-entered values mapped to the entries of a reference list.
 
 Values are deduplicated and normalised; candidates come from an inverted index of character n-grams over the
-reference list; they are scored by cosine with inverse-document-frequency weights; the best one is accepted above a
-threshold and with a margin to the next. An exact check on the distinctive words of value and entry follows, since a
-wrong entry that shares its kind of place ("... Creek") can come close in n-grams.
+reference list; they are scored by cosine with inverse-document-frequency weights; an exact check of the distinctive
+words drops entries that share little but their kind of place ("... Creek"); of the others the best one is accepted
+above a threshold and with a margin to the next. Values, entries, index and candidates are all distributed; the driver
+holds the frequencies of hashed n-grams and the kinds of place only, both bounded whatever the size of the list.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 from math import log
+from zlib import crc32
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.llm.spelling import abbreviates, fold, typing_errors, within, words
-from sessionloom.session import BROADCAST_ROWS, broadcast_if_small, cut, spread
+from sessionloom.session import broadcast_if_small, cut, spread
 
 # Words before or inside a value that say how it relates to the entry, not which one it is.
 QUALIFIERS = frozenset("the near out by at in around outside from town city of member members enrolled mostly partly formerly area".split())
@@ -35,7 +37,6 @@ class Entry:
     ref_id: int
     tokens: tuple[str, ...]
     common: tuple[str, ...]
-    state: str
 
     @property
     def stem(self) -> list[str]:
@@ -65,13 +66,6 @@ def grams(tokens: Sequence[str], size: int = 3) -> Counter:
     return out
 
 
-def common_words(names: Sequence[Sequence[str]], least: int = 3, share: float = 0.02) -> set[str]:
-    """Words that at least ``least`` entries and ``share`` of them have: kinds of places, not names."""
-    counts = Counter(t for tokens in names for t in set(tokens))
-    floor = max(least, share * len(names))
-    return {t for t, n in counts.items() if n >= floor and t not in QUALIFIERS}
-
-
 @lru_cache(maxsize=1 << 16)
 def _as_kind(token: str, kinds: frozenset[str]) -> frozenset[str]:
     """The kind words that ``token`` may stand for: itself, an abbreviation or a misspelling."""
@@ -123,121 +117,158 @@ def check(value: Sequence[str], entry: Entry, kinds: frozenset[str]) -> tuple[fl
     return (min(fitting), missing) if fitting else None
 
 
-def map_to_canonical(
-    values: DataFrame,
-    reference: DataFrame,
-    threshold: float = 0.2,
-    margin: float = 0.75,
-    max_reference: int = BROADCAST_ROWS,
-) -> DataFrame:
+#: N-grams are counted by their hash in so many places, which bounds the frequencies the driver holds.
+GRAM_PLACES = 1 << 20
+#: A word is a kind of place if this share of the entries has it, and three of them at least.
+KIND_SHARE, KIND_LEAST = 0.02, 3
+
+@dataclass
+class Weights:
+    """What the workers know of the reference list, by kind: entries, frequency of hashed n-grams, kinds of place."""
+
+    totals: dict[str, int]
+    frequency: dict[str, dict[int, int]]
+    kinds: dict[str, frozenset[str]]
+    vectors: dict[tuple[str, str], tuple[dict[int, float], float]] = field(default_factory=dict)
+
+    def vector(self, kind: str, norm: str) -> tuple[dict[int, float], float]:
+        """Weights of the n-grams of a normal form by hash, and their norm; n-grams the list lacks weigh 1."""
+        own = self.vectors.get((kind, norm))
+        if own is None:
+            if len(self.vectors) > 1 << 16:
+                self.vectors.clear()
+            total, frequency = self.totals.get(kind, 0), self.frequency.get(kind, {})
+            tokens = norm.split(" ")
+            counts: Counter = Counter()
+            for gram, n in grams([t for t in tokens if t not in QUALIFIERS] or tokens).items():
+                counts[_place(gram)] += n
+            weights = {g: (1 + log(n)) * (log((2 + total) / (1 + frequency[g])) if g in frequency else 1.0) for g, n in counts.items()}
+            own = self.vectors[(kind, norm)] = weights, sum(w * w for w in weights.values()) ** 0.5 or 1.0
+        return own
+
+    def cosine(self, kind: str, a: str, b: str) -> float:
+        (x, m), (y, n) = self.vector(kind, a), self.vector(kind, b)
+        return sum(w * y[g] for g, w in x.items() if g in y) / (m * n)
+
+
+def _place(gram: str) -> int:
+    return crc32(gram.encode()) % GRAM_PLACES
+
+
+def map_to_canonical(values: DataFrame, reference: DataFrame, threshold: float = 0.3, margin: float = 0.1) -> DataFrame:
     """``values`` (kind, value, hint) mapped to ``reference`` (ref_id, kind, name, state): distinct kind, value, hint, ref_id.
 
-    ``hint`` is the state written beside the value or NULL; it only decides between entries that the value alone
-    leaves open. ``ref_id`` is 0 where no entry is meant. ``threshold`` is the least cosine of a candidate, ``margin``
-    the least lead of the best candidate in edits. NULL and blank values give ref_id 0, repeated values one row, an
-    empty reference list 0 throughout, entries with NULL or blank names are never candidates.
+    ``threshold`` is the least cosine of an accepted entry, ``margin`` its least lead over the next entry that the value
+    may mean. Where two lie within the margin, ``hint`` (the state written beside the value, or NULL) decides if it
+    fits one of them only, else the exact check does: the fewest typing errors, then the fewest kinds of place left
+    out; if that leaves several, none is meant. ``ref_id`` is 0 where no entry is meant. NULL and blank values give
+    ref_id 0, repeated values one row, an empty reference list 0 throughout; entries with NULL or blank names are never
+    candidates, repeated entries count once.
 
-    The reference list is the small side: its grams are broadcast only if they are counted to be at most
-    ``BROADCAST_ROWS`` rows, otherwise the index is joined by shuffle. The exact check needs the entries themselves
-    and refuses lists of more than ``max_reference`` entries.
+    The n-grams of a value are looked up rarest first, and only until the rest of them could no longer reach the
+    threshold, which loses no candidate. The index is broadcast only if it is counted to be small, otherwise joined by
+    shuffle; the list may have any size.
     """
-    rows = reference.where(F.trim(F.coalesce("name", F.lit(""))) != "").select("ref_id", "kind", "name", "state").limit(max_reference + 1).collect()
-    if len(rows) > max_reference:
-        raise ValueError(f"the reference list has more than {max_reference} entries")
-    entries, kinds = _entries(rows)
-    spark = values.sparkSession
-
-    postings = []
-    for kind in {e[0] for e in entries}:
-        own = [e for e in entries if e[0] == kind]
-        counts = {e[1].ref_id: grams(e[1].tokens) for e in own}
-        df = Counter(g for c in counts.values() for g in c)
-        idf = {g: _idf(len(own), n) for g, n in df.items()}
-        for ref_id, c in counts.items():
-            weights = {g: (1 + log(n)) * idf[g] for g, n in c.items()}
-            norm = sum(w * w for w in weights.values()) ** 0.5
-            postings += [(kind, g, ref_id, w / norm, idf[g]) for g, w in weights.items()]
-    index = spark.createDataFrame(postings, "kind string, gram string, ref_id long, weight double, idf double")
-
-    distinct = values.select("kind", "value", "hint").distinct()
-    normal = cut(spread(distinct, "value").mapInPandas(_normalise, "kind string, value string, hint string, norm string"))
-    forms = normal.where("norm <> ''").select("kind", "norm").distinct()
-    posted = cut(spread(forms, "norm").mapInPandas(_explode_grams, "kind string, norm string, gram string, tf double"))
-    scored = (
-        posted.join(broadcast_if_small(index), ["kind", "gram"])
-        .withColumn("own", F.col("tf") * F.col("idf"))
-        .groupBy("kind", "norm", "ref_id")
-        .agg(F.sum(F.col("own") * F.col("weight")).alias("dot"))
-    )
-    length = posted.join(broadcast_if_small(index.select("kind", "gram", "idf").distinct()), ["kind", "gram"], "left")
-    unseen = F.lit(1.0)
-    length = length.groupBy("kind", "norm").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.coalesce("idf", unseen), 2))).alias("norm_length"))
-    candidates = (
-        scored.join(length, ["kind", "norm"])
-        .withColumn("cosine", F.round(F.col("dot") / F.col("norm_length"), 6))
-        .where(F.col("cosine") >= threshold)
-        .groupBy("kind", "norm")
-        .agg(F.collect_list(F.struct("cosine", "ref_id")).alias("candidates"))
-    )
-    by_id = {(k, e.ref_id): e for k, e in entries}
-
-    def accept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    entries = reference.where("trim(coalesce(name, '')) <> ''").select("ref_id", "kind", F.col("name").alias("value"), F.upper(F.trim("state")).alias("state")).distinct()
+    entries = cut(entries.mapInPandas(_normalised("ref_id", "kind", "state"), "ref_id long, kind string, state string, norm string")).where("norm <> ''")
+    weights = _weights(entries)
+    index = entries.mapInPandas(_postings(weights, 0.0, "ref_id"), "kind string, ref_id long, gram int, weight double, rest double")
+
+    normal = values.select("kind", "value", "hint").distinct()
+    normal = cut(spread(normal, "value").mapInPandas(_normalised("kind", "value", "hint"), "kind string, value string, hint string, norm string").withColumn("form", F.xxhash64("kind", "norm")))
+    forms = normal.where("norm <> ''").select("kind", "norm", "form").distinct()
+    probes = forms.mapInPandas(_postings(weights, threshold, "form"), "kind string, form long, gram int, weight double, rest double")
+    shared = probes.alias("v").join(broadcast_if_small(index.select("kind", "gram", "ref_id", "weight")).alias("e"), ["kind", "gram"])
+    reached = shared.groupBy("kind", "form", "ref_id").agg(F.sum(F.col("v.weight") * F.col("e.weight")).alias("dot"), F.max("rest").alias("rest"))
+    found = reached.where(F.col("dot") + F.col("rest") >= threshold - 1e-9).select("kind", "form", "ref_id")
+    paired = found.join(forms, ["kind", "form"]).join(broadcast_if_small(entries.withColumnRenamed("norm", "entry")), ["kind", "ref_id"])
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for kind, form, norm, ref_id, entry, state in zip(*(batch[c] for c in ("kind", "form", "norm", "ref_id", "entry", "state")), strict=True):
+                cosine = weights.cosine(kind, norm, entry)
+                if cosine >= threshold:
+                    kinds = weights.kinds.get(kind, frozenset())
+                    distance = check(norm.split(" "), _entry(ref_id, entry, kinds), kinds)
+                    if distance is not None:
+                        out.append((kind, form, ref_id, state, cosine, *distance))
+            yield pd.DataFrame(out, columns=["kind", "form", "ref_id", "state", "cosine", "edits", "missing"])
+
+    meant = spread(paired, "form").mapInPandas(score, "kind string, form long, ref_id long, state string, cosine double, edits double, missing int")
+    by_form = Window.partitionBy("kind", "form")
+    order = F.struct("edits", "missing")
+    close = meant.withColumn("best", F.max("cosine").over(by_form)).where(F.col("best") - F.col("cosine") < margin)
+    close = cut(close.withColumn("preferred", order == F.min(order).over(by_form)))
+
+    # of the entries within the margin of the best: one only, else the one of the hint's state, else the one the check prefers
+    here = F.col("state") == F.upper(F.trim("hint"))
+    pick = lambda wanted: F.when(F.count_if(wanted) == 1, F.min(F.when(wanted, F.col("ref_id"))))
+    asked = normal.select("kind", "form", "hint").distinct().join(close, ["kind", "form"])
+    chosen = asked.groupBy("kind", "form", "hint").agg(F.coalesce(pick(F.col("ref_id").isNotNull()), pick(here), pick(F.col("preferred"))).alias("ref_id"))
+    every = [F.col("n.kind") == F.col("c.kind"), F.col("n.form") == F.col("c.form"), F.col("n.hint").eqNullSafe(F.col("c.hint"))]
+    return normal.alias("n").join(chosen.alias("c"), every, "left").select("n.kind", "n.value", "n.hint", F.coalesce("c.ref_id", F.lit(0)).cast("long").alias("ref_id"))
+
+
+def _weights(entries: DataFrame) -> Weights:
+    totals = {r["kind"]: r["n"] for r in entries.where("kind is not null").groupBy("kind").agg(F.count("*").alias("n")).toLocalIterator()}
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            chosen = []
-            for kind, norm, hint, found in zip(batch["kind"], batch["norm"], batch["hint"], batch["candidates"], strict=True):
-                ids = [] if found is None else [(by_id[(kind, c["ref_id"])], c["cosine"]) for c in found]
-                chosen.append(_accept((norm or "").split(" "), ids, hint, kinds.get(kind, frozenset()), margin))
-            batch["ref_id"] = chosen
-            yield batch[["kind", "value", "hint", "ref_id"]]
-
-    return spread(normal.join(candidates, ["kind", "norm"], "left"), "norm").mapInPandas(accept, "kind string, value string, hint string, ref_id long")
-
-
-def _idf(total: int, n: int) -> float:
-    return log((2 + total) / (1 + n))
-
-
-def _entries(rows: Sequence) -> tuple[list[tuple[str, Entry]], dict[str, frozenset[str]]]:
-    tokens = {r["ref_id"]: (r["kind"], tuple(normal_words(r["name"])), (r["state"] or "")) for r in rows}
-    kinds = {k: frozenset(common_words([t for kk, t, _ in tokens.values() if kk == k])) for k in {k for k, _, _ in tokens.values()}}
-    return [(k, Entry(i, t, tuple(x for x in t if x in kinds[k]), s)) for i, (k, t, s) in sorted(tokens.items())], kinds
-
-
-def _accept(value: list[str], found: list[tuple[Entry, float]], hint: str | None, kinds: frozenset[str], margin: float) -> int:
-    scored = []
-    for entry, cosine in found:
-        distance = check(value, entry, kinds)
-        if distance is not None:
-            scored.append((*distance, -cosine, entry))
-    if not scored:
-        return 0
-    nearest = min(s[0] for s in scored)
-    best = [s for s in scored if s[0] < nearest + margin]
-    fewest = min(s[1] for s in best)
-    best = [s for s in best if s[1] == fewest]
-    if len(best) > 1 and hint:
-        here = [s for s in best if s[3].state == hint.strip().upper()]
-        best = here if len(here) == 1 else best
-    if len(best) > 1 and len({s[0] for s in best}) > 1 and nearest < 1:
-        best = [s for s in best if s[0] == nearest]
-    return int(best[0][3].ref_id) if len(best) == 1 else 0
-
-
-def _normalise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        forms = {v: " ".join(normal_words(v)) for v in batch["value"].dropna().unique()}
-        batch["norm"] = batch["value"].map(forms).fillna("")
-        yield batch[["kind", "value", "hint", "norm"]]
-
-
-def _explode_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = [
-            (kind, norm, gram, 1 + log(n))
-            for kind, norm in zip(batch["kind"], batch["norm"], strict=True)
-            for gram, n in grams([t for t in norm.split(" ") if t not in QUALIFIERS] or norm.split(" ")).items()
-        ]
-        yield pd.DataFrame(out, columns=["kind", "norm", "gram", "tf"])
+            out = [(k, g) for k, norm in zip(batch["kind"], batch["norm"], strict=True) for g in {_place(g) for g in grams(norm.split(" "))}]
+            yield pd.DataFrame(out, columns=["kind", "gram"])
+
+    frequency: dict[str, dict[int, int]] = {kind: {} for kind in totals}
+    for r in entries.where("kind is not null").mapInPandas(places, "kind string, gram int").groupBy("kind", "gram").agg(F.count("*").alias("n")).toLocalIterator():
+        frequency[r["kind"]][r["gram"]] = r["n"]
+    words_of = entries.where("kind is not null").select("kind", "ref_id", "norm", F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
+    limits = F.create_map(*(F.lit(x) for k, n in totals.items() for x in (k, max(float(KIND_LEAST), KIND_SHARE * n)))) if totals else F.create_map()
+    # a word of at least that share of the entries: their words over the share bound how many there are
+    counted = words_of.groupBy("kind", "word").agg(F.count("*").alias("n")).where(F.col("n") >= limits[F.col("kind")]) if totals else words_of.limit(0)
+    kinds: dict[str, set[str]] = {kind: set() for kind in totals}
+    for r in counted.toLocalIterator():
+        if r["word"] not in QUALIFIERS:
+            kinds[r["kind"]].add(r["word"])
+    return Weights(totals, frequency, {k: frozenset(w) for k, w in kinds.items()})
+
+
+@lru_cache(maxsize=1 << 16)
+def _entry(ref_id: int, norm: str, kinds: frozenset[str]) -> Entry:
+    tokens = tuple(norm.split(" "))
+    return Entry(ref_id, tokens, tuple(t for t in tokens if t in kinds))
+
+
+def _normalised(*columns: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            forms = {v: " ".join(normal_words(v)) for v in batch["value"].dropna().unique()}
+            batch["norm"] = batch["value"].map(forms).fillna("")
+            yield batch[[*columns, "norm"]]
+
+    return run
+
+
+def _postings(weights: Weights, threshold: float, key: str):
+    """The n-grams of each normal form, its rarest first, up to where the rest can't reach ``threshold`` by itself."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for kind, norm, k in zip(batch["kind"], batch["norm"], batch[key], strict=True):
+                vector, length = weights.vector(kind, norm)
+                known = weights.frequency.get(kind, {})
+                left = sum((w / length) ** 2 for g, w in vector.items() if g in known)
+                own = []
+                for g, w in sorted(((g, w / length) for g, w in vector.items() if g in known), key=lambda x: (-x[1], x[0])):
+                    if left < threshold * threshold:
+                        break
+                    left -= w * w
+                    own.append((g, w))
+                rest = max(left, 0.0) ** 0.5
+                out += [(kind, k, g, w, rest) for g, w in own]
+            yield pd.DataFrame(out, columns=["kind", key, "gram", "weight", "rest"])
+
+    return run
 
 
 def assign_canonical(rows: DataFrame, reference: DataFrame) -> DataFrame:
@@ -246,4 +277,3 @@ def assign_canonical(rows: DataFrame, reference: DataFrame) -> DataFrame:
     small = broadcast_if_small(cut(mapping).withColumnRenamed("hint", "__hint").withColumnRenamed("kind", "__kind").withColumnRenamed("value", "__value"))
     same = (F.col("kind") == F.col("__kind")) & F.col("value").eqNullSafe(F.col("__value")) & F.col("hint").eqNullSafe(F.col("__hint"))
     return rows.join(small, same, "left").select("field_name", "row_id", F.coalesce("ref_id", F.lit(0)).cast("long").alias("ref_id"))
-

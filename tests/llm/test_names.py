@@ -2,8 +2,7 @@
 
 import pytest
 
-from sessionloom.llm.canonical import assign_canonical, check, map_to_canonical, normal_words
-from sessionloom.llm.canonical import _accept, _entries
+from sessionloom.llm.canonical import _entry, _weights, assign_canonical, check, map_to_canonical, normal_words
 from sessionloom.llm.spelling import abbreviates, common_length, edits, lcs_ratio, within
 from sessionloom.llm.variants import KINDS, compare_person, entity_pairs, link_variants, parse_district, parse_organization, parse_person
 
@@ -31,14 +30,48 @@ def test_map_to_canonical(spark, reference):
     assert got[("place", None, None)] == got[("place", "", None)] == got[("other", "Talvane Creek", None)] == 0
 
 
+def brute(spark, names, values, threshold=0.3, margin=0.1):
+    """The mapping by comparison of every value with every entry."""
+    entries = [(i, " ".join(normal_words(n))) for i, n in enumerate(names, 1)]
+    weights = _weights(spark.createDataFrame([(i, "place", n) for i, n in entries], "ref_id long, kind string, norm string"))
+    kinds, out = weights.kinds["place"], {}
+    for value in values:
+        norm, scored = " ".join(normal_words(value)), []
+        for i, entry in entries:
+            cosine = weights.cosine("place", norm, entry)
+            distance = check(norm.split(" "), _entry(i, entry, kinds), kinds)
+            if norm and cosine >= threshold and distance is not None:
+                scored.append((cosine, distance, i))
+        best = max((c for c, _, _ in scored), default=0)
+        close = [s for s in scored if best - s[0] < margin]
+        least = [s for s in close if s[1] == min(s[1] for s in close)]
+        out[value] = close[0][2] if len(close) == 1 else least[0][2] if len(least) == 1 else 0
+    return out
+
+
 def test_index_finds_what_all_pairs_find(spark, reference):
-    entries, kinds = _entries([r for r in reference.collect() if (r.name or "").strip()])
     values = list(VALUES)
-    brute = {v: _accept(normal_words(v), [(e, 1.0) for _, e in entries], None, kinds["place"], 0.75) for v in values}
     frame = spark.createDataFrame([("place", v, None) for v in values], "kind string, value string, hint string")
     got = {r.value: r.ref_id for r in map_to_canonical(frame, reference).collect()}
-    assert got == brute
-    assert check(["talvane", "creek"], entries[0][1], kinds["place"]) is None
+    assert got == brute(spark, PLACES, values)
+    assert check(["talvane", "creek"], _entry(1, "lommishaw creek", frozenset({"creek"})), frozenset({"creek"})) is None
+
+
+def test_index_on_the_tables(spark, tiny):
+    known = [r for r in spark.read.parquet(f"{tiny}/canonical_names.parquet").where("kind = 'place'").collect()]
+    values = [r[0] for r in spark.read.parquet(f"{tiny}/place_names.parquet").where("place_type <> 'district' and trim(name) <> ''").select("name").distinct().collect()]
+    listed = spark.createDataFrame([(i, "place", r.name, None) for i, r in enumerate(known, 1)], "ref_id long, kind string, name string, state string")
+    frame = spark.createDataFrame([("place", v, None) for v in values], "kind string, value string, hint string")
+    got = {r.value: r.ref_id for r in map_to_canonical(frame, listed).collect()}
+    assert got == brute(spark, [r.name for r in known], values) and sum(map(bool, got.values())) > 20
+
+
+def test_lists_of_any_size(spark):
+    """More entries than are broadcast: the index is joined by shuffle."""
+    listed = spark.range(30_000).selectExpr("id as ref_id", "'place' as kind", "concat('Q', translate(cast(id * 7919 as string), '0123456789', 'abelmorstu'), ' Creek') as name", "cast(null as string) as state")
+    asked = listed.where("ref_id % 3000 = 7").selectExpr("kind", "upper(name) as value", "state as hint", "ref_id")
+    got = {r.value: r.ref_id for r in map_to_canonical(asked, listed).collect()}
+    assert got == {r.value: r.ref_id for r in asked.collect()}
 
 
 def test_assign_canonical_edge_cases(spark, reference):
