@@ -1,11 +1,11 @@
 """Variant spellings of names linked to one entity.
 
 Rows are reduced to distinct parsed names within their group (the roll, gazette or session they come from). An index
-of token suffixes, read from both ends of the token, brings names together; suffixes that too many names of a group
-share are first refined by initials or numbers and dropped only if the refined block is still too large, while a whole
-token always stays in the index. Pairs of a block are compared by the longest-common-subsequence ratio of their parts. Equal
-and misspelt names make components; initials, nicknames, acronyms and shortened names join the only component of
-their group they fit.
+of token suffixes, read from both ends of the token, brings names together. A suffix whose names all share a longer one
+is discarded, since that holds the same pairs; a suffix or token that too many names share is refined by the other
+fields (tribe or state, then the ends of the other part of the name). Pairs of a block whose letters can agree at all
+are compared by the longest-common-subsequence ratio of their parts. Equal and misspelt names make components; initials,
+nicknames, acronyms and shortened names join the only component of their group they fit.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.llm.spelling import abbreviates, fold, lcs_ratio, sound, typing_errors, within, words
@@ -36,15 +36,17 @@ _DOTTED = re.compile(r"\b(?:[^\W\d_]\.){2,}")
 class Kind:
     """How names of one kind are parsed and compared.
 
-    ``parse`` turns (name, second name) into parts, ``compare`` two tuples of parts, their tokens' frequencies and whether
-    their refining field is known and agrees into "same", "weak" (the first is a short form that may stand for the
-    second) or None. ``rank`` tells full names from short forms, ``refine`` gives what parts a block that is too large.
+    ``parse`` turns (name, second name) into parts, ``compare`` two tuples of parts and whether their refining field is
+    known and agrees into "same", "weak" (the first is a short form that may stand for the second) or None. ``rank``
+    tells full names from short forms. ``scope`` gives what must be equal for any link, ``anchors`` the two parts of
+    which each must be like one of the other name's.
     """
 
     parse: Callable[[str | None, str | None], tuple[str, ...]]
-    compare: Callable[[tuple[str, ...], tuple[str, ...], dict[str, int], bool], str | None]
+    compare: Callable[[tuple[str, ...], tuple[str, ...], bool], str | None]
     rank: Callable[[tuple[str, ...]], int]
-    refine: Callable[[tuple[str, ...]], str]
+    scope: Callable[[tuple[str, ...]], str]
+    anchors: Callable[[tuple[str, ...]], tuple[str, str]]
 
 
 def parse_person(first: str | None, last: str | None) -> tuple[str, ...]:
@@ -70,20 +72,17 @@ def parse_person(first: str | None, last: str | None) -> tuple[str, ...]:
     return tokens[0], "".join([*middle, tokens[-1]])
 
 
-def typo(a: str, b: str, counts: dict[str, int], agree: bool = False) -> bool:
-    """Whether two tokens are one token typed differently, by their longest-common-subsequence ratio.
-
-    Two tokens that many groups use are two established names, not a name and its misspelling; as a misspelling comes
-    again in a larger corpus, that holds only if nothing else about the two names agrees (``agree``).
-    """
+def typo(a: str, b: str) -> bool:
+    """Whether two tokens are one token typed differently, by their longest-common-subsequence ratio."""
     if a == b:
         return True
     if len(a) < 4 or len(b) < 4 or max(lcs_ratio(a, b), lcs_ratio(sound(a), sound(b))) < 0.7:
         return False
-    if typing_errors(a, b, 2 + (min(len(a), len(b)) >= 9)) is None:
-        return False
-    low, high = sorted((counts.get(a, 1), counts.get(b, 1)))
-    return agree or not (low >= 3 and low >= 0.15 * high)
+    return typing_errors(a, b, 2 + (min(len(a), len(b)) >= 9)) is not None
+
+
+#: Typing errors that two names may have in all, with something else that agrees (an equal part, tribe or state) and without.
+MOST_ERRORS, ALONE_ERRORS = 4, 3
 
 
 def nickname(short: str, full: str) -> bool:
@@ -99,17 +98,18 @@ def nickname(short: str, full: str) -> bool:
     return False
 
 
-def compare_person(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, int], agree: bool = False) -> str | None:
+def compare_person(a: tuple[str, ...], b: tuple[str, ...], agree: bool = False) -> str | None:
     """Same person, or ``a`` a short form of ``b``; swapped first and last names are tried too."""
     for x, y in ((a, b), (a, b[::-1])):
-        if min(map(len, x)) > 1 and min(map(len, y)) > 1 and typo(x[0], y[0], counts, agree or x[1] == y[1]) and typo(x[1], y[1], counts, agree or x[0] == y[0]):
-            if (typing_errors(x[0], y[0], 4) or 0) + (typing_errors(x[1], y[1], 4) or 0) <= 4:
+        if min(map(len, x)) > 1 and min(map(len, y)) > 1 and typo(x[0], y[0]) and typo(x[1], y[1]):
+            errors = (typing_errors(x[0], y[0], 4) or 0) + (typing_errors(x[1], y[1], 4) or 0)
+            if errors <= (MOST_ERRORS if agree or x[0] == y[0] or x[1] == y[1] else ALONE_ERRORS):
                 return "same"
         if min(map(len, y)) < 1:
             continue
-        if x[0] and len(x[0]) < len(y[0]) and nickname(x[0], y[0]) and len(x[1]) > 1 and typo(x[1], y[1], counts, agree):
+        if x[0] and len(x[0]) < len(y[0]) and nickname(x[0], y[0]) and len(x[1]) > 1 and typo(x[1], y[1]):
             return "weak"
-        if len(x[1]) == 1 and len(x[0]) > 1 and len(y[1]) > 1 and y[1].startswith(x[1]) and typo(x[0], y[0], counts, agree):
+        if len(x[1]) == 1 and len(x[0]) > 1 and len(y[1]) > 1 and y[1].startswith(x[1]) and typo(x[0], y[0]):
             return "weak"
     return None
 
@@ -139,11 +139,11 @@ def _kind_word(a: str, b: str) -> bool:
     return a == b or abbreviates(a, b) or abbreviates(b, a) or (min(len(a), len(b)) > 3 and lcs_ratio(a, b) >= 0.75)
 
 
-def compare_organization(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, int], agree: bool = False) -> str | None:
+def compare_organization(a: tuple[str, ...], b: tuple[str, ...], agree: bool = False) -> str | None:
     """Same organisation, or ``a`` an acronym or a shortened name of ``b``."""
     if len(a) == 1 and len(b) > 1:
         return "weak" if a[0] == "".join(t[0] for t in b) else None
-    if len(a) < 2 or len(a) > len(b) or not typo(a[0], b[0], counts, agree or a[1:] == b[1 : len(a)]):
+    if len(a) < 2 or len(a) > len(b) or not typo(a[0], b[0]):
         return None
     if not all(_kind_word(x, y) for x, y in zip(a[1:], b[1:], strict=False)):
         return None
@@ -167,35 +167,44 @@ def parse_district(name: str | None, _: str | None = None) -> tuple[str, ...]:
     return "".join(stem), unit, number
 
 
-def compare_district(a: tuple[str, ...], b: tuple[str, ...], counts: dict[str, int], agree: bool = False) -> str | None:
+def compare_district(a: tuple[str, ...], b: tuple[str, ...], agree: bool = False) -> str | None:
     """Same district if name, unit and number agree; a name without its unit may stand for one with it."""
-    if a[2] != b[2] or not typo(a[0], b[0], counts, agree or a[1] == b[1]):
+    if a[2] != b[2] or not typo(a[0], b[0]):
         return None
     if a[1] == b[1]:
         return "same"
     return "weak" if not a[1] else None
 
 
-PERSON = Kind(parse_person, compare_person, rank_person, lambda p: "".join(sorted(x[0] for x in p if x)))
-ORGANIZATION = Kind(parse_organization, compare_organization, lambda p: 2 if len(p) == 1 else 1 if len(p) == 2 else 0, lambda p: p[0][:1])
-DISTRICT = Kind(parse_district, compare_district, lambda p: 0 if p[1] else 1, lambda p: p[0][:1] + p[2])
+PERSON = Kind(parse_person, compare_person, rank_person, lambda p: "", lambda p: (p[0], p[-1]))
+ORGANIZATION = Kind(parse_organization, compare_organization, lambda p: 2 if len(p) == 1 else 1 if len(p) == 2 else 0, lambda p: "", lambda p: (p[0], ""))
+DISTRICT = Kind(parse_district, compare_district, lambda p: 0 if p[1] else 1, lambda p: p[2], lambda p: (p[0], ""))
+KINDS = {"person": PERSON, "organization": ORGANIZATION, "district": DISTRICT}
+
+#: Bits of a sketch: letters of a token, letters of its sound, its length, its first letter.
+LETTERS = (1 << 26) - 1
 
 
-def block_keys(parts: tuple[str, ...], least: int, acronym: bool) -> set[tuple[str, bool]]:
-    """(key, whole): suffixes of the parts from ``least`` letters, read from either end; whole tokens; the acronym."""
-    keys = set()
-    for part in parts:
-        if len(part) > 1:
-            keys.add((part, True))
-        for size in range(least, len(part)):
-            keys.add((part[-size:] + "<", False))
-            keys.add((">" + part[:size], False))
-    if acronym and len(parts) > 2:
-        keys.add(("".join(t[0] for t in parts), True))
-    return keys
+def sketch(token: str) -> int:
+    """What of a token can be compared in a machine word: sets of letters, length, first letter."""
+    raw = heard = 0
+    for c in token:
+        raw |= 1 << ord(c) % 26
+    for c in sound(token):
+        heard |= 1 << ord(c) % 26
+    return raw | heard << 26 | min(len(token), 31) << 52 | (ord(token[0]) % 31 + 1 if token else 0) << 57
 
 
-KINDS = {"person": PERSON, "organization": ORGANIZATION, "district": DISTRICT}
+def _alike(a: Column, b: Column) -> Column:
+    """Whether two sketches may be of tokens within three edits (below nine letters two) or of one and its short form.
+
+    An edit changes at most two members of a set of letters, so no pair that ``typo`` or ``nickname`` accepts is lost.
+    """
+    size = lambda x: F.shiftright(x, 52).bitwiseAND(F.lit(31))
+    parted = a.bitwiseXOR(b)
+    letters = F.least(F.bit_count(parted.bitwiseAND(F.lit(LETTERS))), F.bit_count(parted.bitwiseAND(F.lit(LETTERS << 26))))
+    short = F.least(size(a), size(b))
+    return (letters <= F.when(short < 9, 4).otherwise(6)) | ((short <= 6) & (F.shiftright(a, 57) == F.shiftright(b, 57)))
 
 
 def link_variants(rows: DataFrame, least_suffix: int = 4, common_block: int = 40) -> DataFrame:
@@ -208,44 +217,44 @@ def link_variants(rows: DataFrame, least_suffix: int = 4, common_block: int = 40
     stays alone. An empty table gives no rows.
 
     ``least_suffix`` is the shortest suffix indexed, ``common_block`` the number of distinct names of a group beyond
-    which a block is refined by initials (and a district's number); a suffix still beyond it is dropped, since the longer
-    suffixes of the token remain, a whole token never.
+    which a block is refined: by ``refine``, which loses nothing, then by the first and by the last letters of the
+    names' other parts. What is left is compared whole, however large.
     """
-    named = rows.where("group is not null and (trim(coalesce(name, '')) <> '' or trim(coalesce(second, '')) <> '')")
-    named = named.withColumn("group", F.xxhash64("field", "kind", "group"))
-    keys = ["kind", "group", "name", "second", "refine"]
+    named = rows.select("field", "row_id", "kind", "group", "name", "second", "refine")
+    named = named.where("group is not null and (trim(coalesce(name, '')) <> '' or trim(coalesce(second, '')) <> '')")
+    written = F.xxhash64(*(x for c in ("name", "second", "refine") for x in (F.col(c).isNull(), F.col(c))))
+    named = named.withColumn("group", F.xxhash64("field", "kind", "group")).withColumn("surface", written)
+    kept = ["kind", "group", "surface", "refine"]
 
     def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             columns = (batch[c] for c in ("kind", "name", "second"))
             parts = [KINDS[kind].parse(*(None if pd.isna(x) else x for x in pair)) for kind, *pair in zip(*columns, strict=True)]
+            kinds = [KINDS[kind] for kind in batch["kind"]]
             batch["parts"] = [list(p) for p in parts]
-            batch["rank"] = [KINDS[kind].rank(p) for kind, p in zip(batch["kind"], parts, strict=True)]
-            yield batch[[*keys, "parts", "rank"]]
+            batch["rank"] = [k.rank(p) for k, p in zip(kinds, parts, strict=True)]
+            batch["scope"] = [k.scope(p) for k, p in zip(kinds, parts, strict=True)]
+            batch["sketch"] = [[sketch(x) for x in k.anchors(p)] for k, p in zip(kinds, parts, strict=True)]
+            yield batch[[*kept, "parts", "rank", "scope", "sketch"]]
 
-    surfaces = spread(named.select(*keys).distinct(), "group", "name").mapInPandas(parsed, "kind string, group long, name string, second string, refine string, parts array<string>, rank int")
-    surfaces = cut(surfaces.withColumn("node", F.xxhash64("group", "parts", F.coalesce("refine", F.lit("\0")))))
-    nodes = surfaces.select("kind", "group", "node", "parts", "rank", "refine").dropDuplicates(["node"])
-    tokens = nodes.select("kind", "group", "node", F.explode(F.array_distinct("parts")).alias("token"))
-    counts = tokens.groupBy("kind", "token").agg(F.count_distinct("group").alias("groups")).where("groups > 2")
-    known = tokens.join(counts, ["kind", "token"]).groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("token", "groups"))).alias("counts"))
-    nodes = cut(nodes.join(known, "node", "left"))
+    schema = "kind string, group long, surface long, refine string, parts array<string>, rank int, scope string, sketch array<long>"
+    surfaces = spread(named.select(*kept, "name", "second").distinct(), "group", "surface").mapInPandas(parsed, schema)
+    surfaces = cut(surfaces.withColumn("refine", F.xxhash64(F.lower("refine")) * F.when(F.col("refine").isNotNull(), 1)).withColumn("node", F.xxhash64("group", "parts", F.coalesce("refine", F.lit(0)))))
+    nodes = surfaces.drop("surface").dropDuplicates(["node"])
 
     relations = cut(_compare(nodes, _candidate_pairs(nodes, least_suffix, common_block)))
-    entity = _components(nodes.select("node"), relations.where("relation = 'same'").select("a", "b"))
-    rank = nodes.select("node", "rank")
+    # only nodes of a relation can change their entity; every other one is its own
+    entity = _components(relations)
     for level, best in ((1, 0), (1, 1), (2, 1)):
-        entity = _attach(entity, relations.where("relation = 'weak'"), rank, level, best)
-    key = surfaces.select(*keys, "node").join(entity, "node").drop("node")
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) if c in ("name", "second", "refine") else F.col(f"r.{c}") == F.col(f"k.{c}") for c in keys]
-    return named.alias("r").join(key.alias("k"), same).select("r.field", "r.row_id", "r.kind", "k.entity")
+        entity = _attach(entity, relations.where("relation = 'weak'"), level, best)
+    known = surfaces.select("group", "surface", "node").join(entity, "node", "left").select("group", "surface", F.coalesce("entity", "node").alias("entity"))
+    return named.join(known, ["group", "surface"]).select("field", "row_id", "kind", "entity")
 
 
-def _attach(entity: DataFrame, weak: DataFrame, rank: DataFrame, level: int, best: int) -> DataFrame:
+def _attach(entity: DataFrame, weak: DataFrame, level: int, best: int) -> DataFrame:
     """Join the entities of short forms of rank ``level`` to the only entity they fit among names up to rank ``best``."""
-    short = rank.where(F.col("rank") == level).select(F.col("node").alias("a")).join(entity.select(F.col("node").alias("a"), "entity"), "a")
-    full = rank.where(F.col("rank") <= best).select(F.col("node").alias("b")).join(entity.select(F.col("node").alias("b"), F.col("entity").alias("target")), "b")
-    fits = weak.select("a", "b").join(short, "a").join(full, "b").where("target <> entity")
+    of = lambda side, name: entity.select(F.col("node").alias(side), F.col("entity").alias(name))
+    fits = weak.where((F.col("a_rank") == level) & (F.col("b_rank") <= best)).select("a", "b").join(of("a", "entity"), "a").join(of("b", "target"), "b").where("target <> entity")
     fits = fits.groupBy("entity").agg(F.min("target").alias("target"), F.max("target").alias("other")).where("target = other").select("entity", "target")
     # two short forms may name each other: of such a chain only its last step stands
     chain = fits.join(fits.select(F.col("entity").alias("target"), F.col("target").alias("next")), "target", "left")
@@ -254,56 +263,93 @@ def _attach(entity: DataFrame, weak: DataFrame, rank: DataFrame, level: int, bes
     return cut(entity.join(chain, "entity", "left").select("node", F.coalesce("target", "entity").alias("entity")))
 
 
-def _candidate_pairs(nodes: DataFrame, least: int, common: int) -> DataFrame:
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for kind, group, node, parts in zip(*(batch[c] for c in ("kind", "group", "node", "parts")), strict=True):
-                initials = KINDS[kind].refine(tuple(parts))
-                out += [(group, node, key, whole, initials) for key, whole in block_keys(tuple(parts), least, kind == "organization")]
-            yield pd.DataFrame(out, columns=["group", "node", "key", "whole", "initials"])
+#: Longer suffixes aren't indexed: names that share one share this one too.
+LONGEST_SUFFIX = 48
+
+
+def block_keys(least: int) -> Column:
+    """Blocks of a node (group, scope, kind, parts): block, the one letter longer block it lies in (NULL if there is none).
+
+    Suffixes of the parts from ``least`` letters, read from either end; whole tokens of two letters or more; the
+    acronym of an organisation.
+    """
+    key = lambda mark, text: F.xxhash64("group", "scope", F.lit(mark), text)
+
+    def of(part: Column) -> Column:
+        size = F.length(part)
+        whole = F.struct(key("=", part).alias("block"), F.lit(None).cast("long").alias("longer"))
+        sizes = F.when(size > least, F.sequence(F.lit(least), F.least(size - 1, F.lit(LONGEST_SUFFIX)))).otherwise(F.array().cast("array<int>"))
+        longer = lambda mark, text, n: F.when(n + 1 == size, key("=", part)).when(n < LONGEST_SUFFIX, key(mark, text)).alias("longer")
+        ends = F.transform(sizes, lambda n: F.struct(key("<", F.right(part, n)).alias("block"), longer("<", F.right(part, n + 1), n)))
+        starts = F.transform(sizes, lambda n: F.struct(key(">", F.left(part, n)).alias("block"), longer(">", F.left(part, n + 1), n)))
+        return F.when(size > 1, F.concat(F.array(whole), ends, starts)).otherwise(F.concat(ends, starts))
 
-    index = nodes.select("kind", "group", "node", "parts").mapInPandas(keys, "group long, node long, key string, whole boolean, initials string")
-    block, refined = Window.partitionBy("group", "key"), Window.partitionBy("group", "key", "initials")
-    index = index.withColumn("size", F.count("*").over(block)).withColumn("refined", F.count("*").over(refined))
-    fine = F.col("size") > common
-    index = index.where(~fine | F.col("whole") | (F.col("refined") <= common))
-    index = cut(index.select("node", F.xxhash64("group", "key", F.when(fine, F.col("initials")).otherwise("")).alias("block")))
-    a, b = index.withColumnRenamed("node", "a"), index.withColumnRenamed("node", "b")
-    return a.join(b, "block").where("a < b").select("a", "b").distinct()
+    acronym = F.array_join(F.transform("parts", lambda p: F.left(p, F.lit(1))), "")
+    spelled = F.when((F.col("kind") == "organization") & (F.size("parts") > 2), F.array_append("parts", acronym)).otherwise(F.col("parts"))
+    return F.flatten(F.transform(F.array_distinct(spelled), of))
+
+
+def _candidate_pairs(nodes: DataFrame, least: int, common: int) -> DataFrame:
+    """Pairs (a, b) of nodes that share a block and whose sketches are alike."""
+    own = ["node", "refine", "one", "two"]
+    ends = F.concat_ws("", F.transform(F.array_sort("parts"), lambda p: F.left(p, F.lit(1)))), F.concat_ws("", F.array_sort(F.transform("parts", lambda p: F.right(p, F.lit(1)))))
+    index = nodes.select("node", "refine", F.col("sketch")[0].alias("one"), F.col("sketch")[1].alias("two"), *(F.hash(e).alias(n) for e, n in zip(ends, ("head", "tail"), strict=True)), F.explode(block_keys(least)).alias("k"))
+    index = index.select(*own, "head", "tail", "k.block", "k.longer")
+    block = Window.partitionBy("block")
+    sized = index.withColumn("size", F.count("*").over(block)).withColumn("least", F.min("longer").over(block)).withColumn("most", F.max("longer").over(block))
+    sized = sized.where("size > 1 and (longer is null or least <> most)")
+    plain = sized.where(F.col("size") <= common).select(*own, "block")
+
+    # names that lack the refining field meet those of every value of it
+    large = cut(sized.where(F.col("size") > common).select(*own, "head", "tail", "block"))
+    values = large.where("refine is not null").select("block", F.col("refine").alias("value")).distinct()
+    every = large.where("refine is null").join(values, "block").withColumn("fine", F.xxhash64("block", "value"))
+    fine = large.withColumn("fine", F.xxhash64("block", F.coalesce("refine", F.lit(0)))).unionByName(every.drop("value"))
+    fine = fine.withColumn("n", F.count("*").over(Window.partitionBy("fine"))).where("n > 1")
+    two = F.array(F.xxhash64("fine", F.lit("<"), "head"), F.xxhash64("fine", F.lit(">"), "tail"))
+    fine = fine.select(*own, F.explode(F.when(F.col("n") <= common, F.array("fine")).otherwise(two)).alias("block"))
+
+    blocks = cut(plain.unionByName(fine))
+    a, b = (blocks.select("block", *(F.col(c).alias(f"{side}_{c}") for c in own)) for side in "ab")
+    alike = lambda x, y: _alike(F.col(x), F.col(y))
+    straight, swapped = alike("a_one", "b_one") & alike("a_two", "b_two"), alike("a_one", "b_two") & alike("a_two", "b_one")
+    met = a.join(b, "block").where((F.col("a_node") < F.col("b_node")) & F.coalesce(F.col("a_refine") == F.col("b_refine"), F.lit(True)) & (straight | swapped))
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
 def _compare(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Relations of the candidate pairs; of a weak one ``a`` is the short form."""
-    side = nodes.select("node", "parts", "refine", "counts")
-    both = pairs.join(nodes.select(F.col("node").alias("a"), "kind", *(F.col(c).alias(f"a_{c}") for c in side.columns[1:])), "a")
-    both = both.join(side.select(F.col("node").alias("b"), *(F.col(c).alias(f"b_{c}") for c in side.columns[1:])), "b")
-    both = both.withColumn("agree", F.expr("lower(a_refine) = lower(b_refine)")).where("agree is null or agree").drop("a_refine", "b_refine")
-    both = both.withColumn("agree", F.coalesce("agree", F.lit(False)))
+    side = lambda name: nodes.select(F.col("node").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("parts", "refine", "rank")))
+    both = pairs.join(side("a"), "a").join(side("b").join(nodes.select(F.col("node").alias("b"), "kind"), "b"), "b")
+    both = both.withColumn("agree", F.coalesce(F.col("a_refine") == F.col("b_refine"), F.lit(False))).drop("a_refine", "b_refine")
 
     def relate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for kind, a, b, pa, pb, ca, cb, agree in zip(*(batch[c] for c in ("kind", "a", "b", "a_parts", "b_parts", "a_counts", "b_counts", "agree")), strict=True):
+            for kind, a, b, pa, pb, ra, rb, agree in zip(*(batch[c] for c in ("kind", "a", "b", "a_parts", "b_parts", "a_rank", "b_rank", "agree")), strict=True):
                 compare = KINDS[kind].compare
-                counts = {**(dict(ca) if ca is not None else {}), **(dict(cb) if cb is not None else {})}
                 pa, pb = tuple(pa), tuple(pb)
-                forward = compare(pa, pb, counts, agree)
-                backward = None if forward == "same" else compare(pb, pa, counts, agree)
+                forward = compare(pa, pb, agree)
+                backward = None if forward == "same" else compare(pb, pa, agree)
                 if "same" in (forward, backward):
-                    out.append((a, b, "same"))
+                    out.append((a, b, ra, rb, "same"))
                     continue
-                out += [(a, b, "weak")] * (forward == "weak") + [(b, a, "weak")] * (backward == "weak")
-            yield pd.DataFrame(out, columns=["a", "b", "relation"])
+                out += [(a, b, ra, rb, "weak")] * (forward == "weak") + [(b, a, rb, ra, "weak")] * (backward == "weak")
+            yield pd.DataFrame(out, columns=["a", "b", "a_rank", "b_rank", "relation"])
 
-    return spread(both, "a", "b").mapInPandas(relate, "a long, b long, relation string")
+    return spread(both, "a", "b").mapInPandas(relate, "a long, b long, a_rank int, b_rank int, relation string")
 
 
-def _components(nodes: DataFrame, links: DataFrame, most: int = 30) -> DataFrame:
-    """(node, entity): the least node of each connected component, by rounds of neighbour minima and pointer jumps."""
-    both = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = cut(nodes.select("node", F.col("node").alias("entity")))
-    for _ in range(most):
+def _components(relations: DataFrame) -> DataFrame:
+    """(node, entity) of the nodes of any relation: the least node of each component of "same" ones.
+
+    Rounds of neighbour minima and pointer jumps until nothing changes, of which a component of n nodes needs at most
+    about log n.
+    """
+    ends = relations.select("a", "b", "relation").unionByName(relations.select(F.col("b").alias("a"), F.col("a").alias("b"), "relation"))
+    both = cut(ends.where("relation = 'same'").select("a", "b").distinct())
+    label = cut(ends.select(F.col("a").alias("node")).distinct().withColumn("entity", F.col("node")))
+    while True:
         near = both.join(label.select(F.col("node").alias("b"), "entity"), "b").groupBy(F.col("a").alias("node")).agg(F.min("entity").alias("near"))
         lower = label.join(near, "node", "left").select("node", "entity", F.least("entity", F.coalesce("near", "entity")).alias("low"))
         jump = lower.select(F.col("node").alias("low"), F.col("low").alias("jump"))
@@ -311,7 +357,6 @@ def _components(nodes: DataFrame, links: DataFrame, most: int = 30) -> DataFrame
         label = step.select("node", "entity")
         if step.where("old <> entity").isEmpty():
             return label
-    raise RuntimeError(f"components didn't settle in {most} rounds")
 
 
 def entity_pairs(linked: DataFrame) -> DataFrame:
