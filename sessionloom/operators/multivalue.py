@@ -52,6 +52,8 @@ def tokenize(text: str | None) -> list[str]:
     buffer: list[str] = []
     state, quote, nesting, line_start = "GAP", "", 0, True
     i, size = 0, len(body)
+    last = {c: body.rfind(c) for c in BRACKETS.values()}
+    closers: dict[str, int] = {}
 
     def emit() -> None:
         value = "".join(buffer).strip()
@@ -70,7 +72,7 @@ def tokenize(text: str | None) -> list[str]:
                 line_start = False
             elif c == "/" and (i == 0 or body[i - 1].isspace()) and (i + 1 == size or body[i + 1].isspace()):
                 pass
-            elif c in QUOTES and _closing(body, i, depth) > 0:
+            elif c in QUOTES and _last_closer(body, QUOTES[c], depth, closers) > i and _closing(body, i, depth) > 0:
                 state, quote, line_start = "QUOTED", QUOTES[c], False
             else:
                 state, line_start = "BARE", False
@@ -96,7 +98,7 @@ def tokenize(text: str | None) -> list[str]:
                 buffer.append(body[i + 1])
                 i += 1
             else:
-                if c in BRACKETS and BRACKETS[c] in body[i + 1 :]:
+                if c in BRACKETS and last[BRACKETS[c]] > i:
                     nesting += 1
                 elif nesting and c in "])}":
                     nesting -= 1
@@ -106,6 +108,16 @@ def tokenize(text: str | None) -> list[str]:
     return values
 
 
+def _last_closer(text: str, quote: str, depth: int, known: dict[str, int]) -> int:
+    """The last position at which ``quote`` could close a value, -1 if there is none; found once per text."""
+    if quote not in known:
+        at = text.rfind(quote)
+        while at >= 0 and not _ends_quote(text, at, depth):
+            at = text.rfind(quote, 0, at)
+        known[quote] = at
+    return known[quote]
+
+
 def _closing(text: str, i: int, depth: int) -> int:
     """The position of the quote that closes the one at ``i``, or -1."""
     quote, j, size = QUOTES[text[i]], i + 1, len(text)

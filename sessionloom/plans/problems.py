@@ -36,33 +36,31 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p1_found": p1_found, "p1_differences": p1_differences, "p2_found": p2_found}
 
-_CANON = r"""CASE WHEN {t} IS NULL OR {t} IN ('', '-1', 'Not reported') THEN NULL
- WHEN regexp_full_match({t}, '[+-]?(\d{{1,3}}(,\d{{3}})+|\d+)(\.\d*)?')
- THEN CASE WHEN CAST(replace({t}, ',', '') AS DECIMAL(38, 9)) = -1 THEN NULL
-      ELSE 'n' || CAST(CAST(replace({t}, ',', '') AS DECIMAL(38, 9)) AS VARCHAR) END
- ELSE 't' || {t} END"""
-
-
 def _canon(column: str) -> str:
-    return _CANON.format(t=rf"regexp_replace({column}, '^[\s\pZ\x{{85}}]+|[\s\pZ\x{{85}}]+$', '', 'g')")
+    """SQL of a value's one spelling: trimmed, numbers in plain decimal form, missing ones NULL."""
+    text = rf"regexp_replace({column}, '^[\s\pZ\x{{85}}]+|[\s\pZ\x{{85}}]+$', '', 'g')"
+    number = rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace({text}, '[,+]', '', 'g'), '^(-?)0+(\d)', '\1\2'), '(\.\d*?)0+$', '\1'), '\.$', '')"
+    spelled = rf"CASE WHEN regexp_full_match({text}, '[+-]?(\d{{1,3}}(,\d{{3}})+|\d+)(\.\d*)?') THEN CASE {number} WHEN '-0' THEN '0' ELSE {number} END ELSE {text} END"
+    return f"nullif(nullif(nullif({spelled}, ''), '-1'), 'Not reported')"
 
 
 def _p1_sql() -> str:
+    every = list(dict.fromkeys(f for fields in COPIES.values() for f in fields))
+
     def version(name: str, fields: list[str], item_number: bool) -> str:
-        columns = ", ".join(
-            _canon(r"regexp_replace(question, '^[\s\pZ]*\(?\d+[.)]+', '')" if item_number and f == "question" else f) + f" AS {f}" for f in fields
-        )
-        return f"(SELECT matrix_no, metric_code, {columns} FROM {name} QUALIFY row_number() OVER (PARTITION BY matrix_no, metric_code ORDER BY exported_at DESC) = 1)"
+        columns = ", ".join(_canon(r"regexp_replace(question, '^[\s\pZ]*\(?\d+[.)]+', '')" if item_number and f == "question" else f) + f" AS v_{f}" for f in every if f in fields)
+        order = ", ".join(f"v_{f} DESC NULLS LAST" for f in every if f in fields)
+        return f"(SELECT * FROM (SELECT matrix_no, metric_code, exported_at, {columns} FROM {name}) QUALIFY row_number() OVER (PARTITION BY matrix_no, metric_code ORDER BY exported_at DESC NULLS LAST, {order}) = 1)"
 
     parts = []
     for name, fields in COPIES.items():
-        base, copy = version("human_readable_matrix", fields, False), version(name, fields, name.startswith("quantitative"))
-        join = "USING (matrix_no, metric_code)"
-        lead = f"SELECT '{name}' AS copy_name, matrix_no, metric_code"
-        parts.append(f"{lead}, '*' AS field_name, 'missing_in_copy' AS diff_kind FROM {base} b ANTI JOIN {copy} c {join}")
-        parts.append(f"{lead}, '*', 'missing_in_base' FROM {copy} c ANTI JOIN {base} b {join}")
-        parts += [f"{lead}, '{f}', 'changed' FROM {base} b JOIN {copy} c {join} WHERE b.{f} IS DISTINCT FROM c.{f}" for f in fields]
+        base, copy = version("human_readable_matrix", every, False), version(name, fields, name.startswith("quantitative"))
+        join = "b.matrix_no IS NOT DISTINCT FROM c.matrix_no AND b.metric_code IS NOT DISTINCT FROM c.metric_code"
+        lead = f"SELECT '{name}' AS copy_name, {{0}}.matrix_no, {{0}}.metric_code"
+        parts.append(f"{lead.format('b')}, '*' AS field_name, 'missing_in_copy' AS diff_kind, NULL AS base_value, NULL AS copy_value FROM {base} b ANTI JOIN {copy} c ON {join}")
+        parts.append(f"{lead.format('c')}, '*', 'missing_in_base', NULL, NULL FROM {copy} c ANTI JOIN {base} b ON {join}")
+        parts += [f"{lead.format('b')}, '{f}', 'changed', b.v_{f}, c.v_{f} FROM {base} b JOIN {copy} c ON {join} WHERE b.v_{f} IS DISTINCT FROM c.v_{f}" for f in fields]
     return "\nUNION ALL ".join(parts)
 
 
-ORACLE = {"p1_found": _p1_sql()}
+ORACLE = {"p1_differences": _p1_sql(), "p1_found": f"SELECT copy_name, matrix_no, metric_code, field_name, diff_kind FROM ({_p1_sql()})"}
