@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,11 +101,36 @@ def value_class(value: Column) -> Column:
     return F.when(v.isNull() | v.isin("", "-1", "Not reported"), "missing").when(v.isin("Yes", "No"), "yes_no").when(v.rlike(r"^[0-9]+$"), "number").otherwise("text")
 
 
-def package_score(title: Column, form: Column, publisher: Column) -> Column:
-    """Additive score of a data package by words of its title, its format and its publisher."""
-    t, f, p = F.lower(title), F.lower(form), F.lower(publisher)
-    points = [(t.contains("national"), 8), (t.contains("names"), 6), (t.contains("file"), 2), (f.isin("zip", "txt"), 8), (p.contains("geological"), 6), (t.contains("alaska"), -8)]
-    score = F.lit(0)
-    for condition, n in points:
-        score = score + F.when(condition, n).otherwise(0)
-    return score
+def table_score(columns: Mapping[str, Column], rules: Sequence[tuple[str, str, float]]) -> Column:
+    """Sum of the points of a table of rules (column, pattern, points) whose pattern the column's text holds.
+
+    Letter case is ignored; a NULL text meets no rule.
+    """
+    points = (F.when(columns[name].rlike("(?i)" + pattern), F.lit(float(n))).otherwise(0.0) for name, pattern, n in rules)
+    return reduce(lambda a, b: a + b, points, F.lit(0.0))
+
+
+def time_left(done: Column, total: Column, seconds: Column) -> Column:
+    """Seconds that the rest takes at the rate so far; NULL while nothing is done, 0 once all is."""
+    return F.when(done > 0, F.greatest(total - done, F.lit(0)) * seconds / done)
+
+
+def version_of(line: Column, prefix: str) -> Column:
+    """The version a manifest line states for the file name that begins with ``prefix``; NULL for other lines."""
+    found = F.regexp_extract(line, r"^\Q" + prefix + r"\E\S*_v(\d+(?:\.\d+)*)", 1)
+    return F.when(found != "", found)
+
+
+def file_name(text: Column) -> Column:
+    """A text as the name of a file: other characters than letters, digits, point and hyphen become one underscore."""
+    return F.trim(F.regexp_replace(text, r"[^A-Za-z0-9.-]+", "_"), F.lit("_"))
+
+
+def percent(part: Column, whole: Column, digits: int = 1) -> Column:
+    """``part`` of ``whole`` in per cent with so many digits, as text; "-" where the whole is zero."""
+    return F.when(whole != 0, F.format_string(f"%.{digits}f%%", (100 * part / whole).cast("double"))).otherwise("-")
+
+
+def as_json(*columns: str) -> Column:
+    """The columns as a JSON object; NULL ones are left out."""
+    return F.to_json(F.struct(*columns))

@@ -20,6 +20,14 @@ def split_lines(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     return lines.select(key, (F.col("pos") + 1).cast("long").alias("line_no"), "line")
 
 
+def split_any(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``split_lines``, but every kind of line break ends a line (CR, VT, FF, NEL, U+2028, U+2029); a last empty line is none."""
+    broken = F.regexp_replace(text, "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", "\n")
+    parts = F.split(F.regexp_replace(broken, "\n$", ""), "\n")
+    lines = documents.where(F.length(text) > 0).select(key, F.posexplode(parts).alias("pos", "line"))
+    return lines.select(key, (F.col("pos") + 1).cast("long").alias("line_no"), "line")
+
+
 def by_line(key: str = "doc_id") -> Window:
     return Window.partitionBy(key).orderBy("line_no")
 
@@ -79,8 +87,8 @@ def strip_clocks(text: Column) -> Column:
 
 
 def speaker_lines(lines: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, line_no, speaker, body) of lines that begin with a speaker label of up to three words."""
-    label = r"^([A-Z][A-Za-z]*(?: [A-Za-z0-9]+){0,2}):\s+(.*)$"
+    """(key, line_no, speaker, body) of lines that begin with a speaker label: a code, or up to three words."""
+    label = r"^(#[A-Z]+|[A-Z][A-Za-z_]*(?: [A-Za-z0-9]+){0,2}):\s+(.*)$"
     found = lines.where(F.col("line").rlike(label))
     return found.select(key, "line_no", F.regexp_extract("line", label, 1).alias("speaker"), F.regexp_extract("line", label, 2).alias("body"))
 
@@ -112,7 +120,61 @@ def take_until(lines: DataFrame, delimiter: str, key: str = "doc_id") -> DataFra
     return lines.withColumn("__seen", seen).where("__seen = 0").drop("__seen")
 
 
+def beside_text(items: DataFrame, texts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Each text (key, text) once, with the array ``items`` of its rows of ``items``: so that no text is shuffled per item.
+
+    Texts without items and items without a text give no row; a document's own items bound the array.
+    """
+    gathered = items.groupBy(key).agg(F.collect_list(F.struct(*(c for c in items.columns if c != key))).alias("items"))
+    return texts.where(F.col(text).isNotNull()).select(key, F.col(text).alias("text")).join(gathered, key)
+
+
 def join_lines(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     """Lines put back to one text per document, in order."""
     ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))
     return lines.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("text"))
+
+
+def dialogue_lines(lines: DataFrame, labels: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
+    """Non-blank lines without those of digits only, each as "label: body".
+
+    The label is the speaker's own, or what ``labels`` (key, speaker, label) gives for it; lines without a speaker are
+    those of "Speaker".
+    """
+    label = r"^([A-Z][A-Za-z_]*(?: ?[A-Za-z0-9]+){0,2}):\s+(.*)$"
+    kept = lines.where(~F.col("line").rlike(r"^\s*[0-9]*\s*$"))
+    parted = kept.select(key, "line_no", F.nullif(F.regexp_extract("line", label, 1), F.lit("")).alias("speaker"), F.when(F.col("line").rlike(label), F.regexp_extract("line", label, 2)).otherwise(F.trim("line")).alias("body"))
+    if labels is not None:
+        parted = parted.join(labels.select(key, "speaker", "label"), [key, "speaker"], "left").withColumn("speaker", F.coalesce("label", "speaker")).drop("label")
+    return parted.select(key, "line_no", F.concat(F.coalesce("speaker", F.lit("Speaker")), F.lit(": "), F.col("body")).alias("line"))
+
+
+#: What stands in place of a reference table where no verse has a time.
+NO_TIMES = "No times were recorded for this text."
+
+
+def render_verses(verses: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Cited text: (key, position, line), a "Page N" line before each page's verses, then "[A.1] body" lines.
+
+    The order within a document is (page, line_no); ``position`` runs from 1.
+    """
+    cited = verses.select(key, "page", F.col("line_no").alias("at"), F.concat_ws(" ", "citation", "body").alias("line"))
+    heads = verses.groupBy(key, "page").agg((F.min("line_no") - 0.5).alias("at")).select(key, "page", "at", F.format_string("Page %d", "page").alias("line"))
+    rows = cited.select(key, "page", F.col("at").cast("double").alias("at"), "line").unionByName(heads)
+    return rows.select(key, F.row_number().over(Window.partitionBy(key).orderBy("page", "at")).cast("long").alias("position"), "line")
+
+
+def full_reference_table(verses: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, position, row): the reference rows of each document, by letter and then verse, as text orders letters.
+
+    A document none of whose verses has a time gets the one sentence that says so.
+    """
+    table = reference_table(verses, key).join(verses.select(key, "citation", "letter", "verse"), [key, "citation"])
+    table = table.select(key, F.row_number().over(Window.partitionBy(key).orderBy("letter", "verse")).cast("long").alias("position"), "row")
+    none = verses.groupBy(key).agg(F.count("ts").alias("timed")).where("timed = 0")
+    return table.unionByName(none.select(key, F.lit(1).cast("long").alias("position"), F.lit(NO_TIMES).alias("row")))
+
+
+def speakers(lines: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The distinct speaker labels of each document."""
+    return speaker_lines(lines, key).select(key, "speaker").distinct()

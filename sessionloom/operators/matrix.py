@@ -84,6 +84,26 @@ def banner_rows(df: DataFrame, group: str, order: str, column: str) -> DataFrame
     return df.withColumn("__before", before).where(~F.col(column).eqNullSafe(F.col("__before"))).select(group, order, column)
 
 
+def without_columns(df: DataFrame, positions: Sequence[int]) -> DataFrame:
+    """The table without the columns at these places, from 0; places it hasn't are ignored."""
+    return df.select(*(f"`{c}`" for i, c in enumerate(df.columns) if i not in positions))
+
+
+def value_columns(df: DataFrame, ids: Sequence[str]) -> list[str]:
+    """The columns that aren't identifiers, in their order."""
+    return [c for c in df.columns if c not in ids]
+
+
+def filtered_matrix(df: DataFrame, values: Sequence[str], category: str, order: Sequence[str], banner: str = "Not reported by any") -> DataFrame:
+    """The matrix with the rows that state something first, then a banner row, then those that state nothing.
+
+    ``section`` is 0, 1 or 2 in that order; within it the rows keep ``order``. There is no banner if no row is empty.
+    """
+    marked = df.withColumn("section", F.when(all_missing(values), 2).otherwise(0))
+    head = marked.where("section = 2").limit(1).select(*(F.lit(banner if c == category else None).cast(t).alias(c) for c, t in df.dtypes), F.lit(1).alias("section"))
+    return marked.unionByName(head).orderBy("section", *order)
+
+
 def interleave(df: DataFrame, keys: Sequence[str], columns: Sequence[str], suffix: str = " (Citation)") -> DataFrame:
     """Columns with their citation column before each."""
     return df.select(*keys, *(c for name in columns for c in (f"`{name}{suffix}`", f"`{name}`")))

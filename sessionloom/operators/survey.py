@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,29 @@ def coverage_level(hits, high: int = 3, medium: int = 1, low: str = "NONE"):
     return F.when(hits >= high, "HIGH").when(hits >= medium, "MEDIUM").otherwise(low)
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Least hits for HIGH and for MEDIUM, the lowest level, and keywords one of which alone makes a question HIGH."""
+
+    high: int = 3
+    medium: int = 1
+    low: str = "NONE"
+    decisive: tuple[str, ...] = ()
+
+
+def rule_levels(texts: DataFrame, key: str, text: str, questions: Mapping[str, Sequence[str]], rules: Mapping[str, Rule]) -> DataFrame:
+    """(key, question, hits, level): each question's level by its own rule, ``Rule()`` where it has none."""
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    rows = []
+    for question, keywords in questions.items():
+        rule = rules.get(question, Rule())
+        hits = sum((low.contains(k).cast("long") for k in keywords), F.lit(0).cast("long"))
+        decisive = reduce(lambda a, b: a | b, (low.contains(k) for k in rule.decisive), F.lit(False))
+        level = F.when(decisive, "HIGH").otherwise(coverage_level(hits, rule.high, rule.medium, rule.low))
+        rows.append(F.struct(F.lit(question).alias("question"), hits.alias("hits"), level.alias("level")))
+    return texts.select(key, F.explode(F.array(*rows)).alias("q")).select(key, "q.*")
+
+
 def level_table(levels: DataFrame, row: str, column: str, names: Sequence[str]) -> DataFrame:
     """Question by interview: the best level of each cell."""
     rank = F.when(F.col("level") == "HIGH", 2).when(F.col("level") == "MEDIUM", 1).otherwise(0)

@@ -23,8 +23,6 @@ QUESTIONS = {
     "Q1": ["started", "first year", "years ago"], "Q2": ["grant", "budget", "loan", "reserve"], "Q3": ["web page", "flyer", "radio"],
     "Q4": ["members", "families", "household"], "Q5": ["elders", "language", "stories"], "Q6": ["board", "vote", "bylaws"],
 }
-SOURCES = ["board_minutes", "field_notes", "grant_reports", "interview_audio", "newsletters", "oral_history", "radio_scripts", "survey_open_text", "web_crawl"]
-METRICS = ["charter_year", "debt_free", "language_use", "paid_staff", "voting_members"]
 HEADER = r"^(Agenda|Word list)"
 
 _LINES = r"(SELECT doc_id, unnest(range(1, len(p) + 1)) AS line_no, unnest(p) AS line FROM (SELECT doc_id, regexp_split_to_array(text, '\r?\n') AS p FROM documents WHERE text IS NOT NULL))"
@@ -64,15 +62,21 @@ def _word(keyword: str) -> str:
     return r"(?i)\b" + r"\s+".join(keyword.split()) + r"\b"
 
 
-def _hits_sql(negative: bool) -> str:
+REQUIRED = {"budget": r"(?i)year|month|spend|spent|income", "members": r"(?i)[0-9]|vote|famil"}
+
+
+def _hits_sql(negative: bool, lexicon=LEXICON, required: bool = False) -> str:
+    """Every match by position; one that its window of 30 characters rules out doesn't count."""
     parts = []
-    for category, keyword in LEXICON:
-        at = f"length(regexp_extract(line, '(?is)^(.*?){_word(keyword)[4:]}', 1)) + 1"
-        first = f"greatest({at} - 30, 1)"
-        context = f"substring(line, {first}, {at} + {len(keyword)} + 30 - {first})"
-        extra = f" AND NOT regexp_matches({context}, '{NEGATIVE[keyword]}')" if negative and keyword in NEGATIVE else ""
+    for category, keyword in lexicon:
+        view = "substring(line, greatest(pos - 30, 1), pos + n + 30 - greatest(pos - 30, 1))"
+        shown = "substring(line, greatest(pos - 50, 1), pos + n + 50 - greatest(pos - 50, 1))"
+        wanted = f" WHERE NOT regexp_matches({view}, '{NEGATIVE[keyword]}')" if negative and keyword in NEGATIVE else f" WHERE regexp_matches({view}, '{REQUIRED[keyword]}')" if required and keyword in REQUIRED else ""
         parts.append(
-            f"SELECT doc_id, line_no, '{category}' AS category, '{keyword}' AS keyword, CAST(len(regexp_extract_all(line, '{_word(keyword)}')) AS BIGINT) AS hits, {context} AS context FROM l WHERE regexp_matches(line, '{_word(keyword)}'){extra}"
+            f"""SELECT doc_id, line_no, '{category}' AS category, '{keyword}' AS keyword, count(*) AS hits, arg_min({shown}, pos) AS context FROM (
+            SELECT doc_id, line_no, line, length(x[i]) AS n, CAST(list_sum(list_transform(p[1:i], lambda z: length(z))) + coalesce(list_sum(list_transform(x[1:i - 1], lambda z: length(z))), 0) + 1 AS BIGINT) AS pos
+            FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM (SELECT doc_id, line_no, line, regexp_split_to_array(line, '{_word(keyword)}') AS p, regexp_extract_all(line, '{_word(keyword)}') AS x FROM l WHERE regexp_matches(line, '{_word(keyword)}'))))
+            {wanted} GROUP BY 1, 2"""
         )
     return f"WITH l AS MATERIALIZED (SELECT * FROM {_LINES}) " + " UNION ALL ".join(parts)
 
@@ -82,6 +86,12 @@ def q_lexicon_tags(spark, sf_dir):
     return tagging.lexicon_hits(_documents(spark, sf_dir), LEXICON, NEGATIVE).drop("line")
 
 
+@query(_hits_sql(False, required=True))
+def q_required_context(spark, sf_dir):
+    """As q_lexicon_tags, with what must stand near a keyword instead of what must not."""
+    return tagging.lexicon_hits(_documents(spark, sf_dir), LEXICON, required=REQUIRED).drop("line")
+
+
 @query(f"SELECT category, count(*) AS tags FROM ({_hits_sql(False)}) GROUP BY ROLLUP (category)")
 def q_lexicon_rollup(spark, sf_dir):
     return tagging.tag_counts(tagging.lexicon_hits(_documents(spark, sf_dir), LEXICON))
@@ -99,15 +109,44 @@ def q_metric_tags(spark, sf_dir):
     return tagging.metric_tags(_documents(spark, sf_dir))
 
 
-@query(
-    rf"""WITH seed AS (SELECT DISTINCT doc_id, line_no FROM ({_METRIC_SQL})), filled AS (SELECT l.*, s.line_no IS NOT NULL AS seed FROM {_LINES} l LEFT JOIN seed s USING (doc_id, line_no) WHERE NOT {_BLANK}),
+_DIALOGUE = r"""SELECT doc_id, line_no, CASE WHEN regexp_matches(line, '^#[A-Z]+\b') THEN 'code' WHEN regexp_matches(line, '^[A-Z]{1,3}\. ') THEN 'letter' WHEN regexp_matches(line, '^\[[A-Z]+\.[0-9]+\]') THEN 'verse' END AS dialogue FROM __L__""".replace("__L__", _LINES)
+_SEED = f"(SELECT doc_id, line_no FROM ({_METRIC_SQL}) UNION SELECT doc_id, line_no FROM ({_DIALOGUE}) WHERE dialogue IS NOT NULL)"
+_CASCADE = rf"""WITH seed AS {_SEED}, filled AS (SELECT l.*, s.line_no IS NOT NULL AS seed FROM {_LINES} l LEFT JOIN seed s USING (doc_id, line_no) WHERE NOT {_BLANK}),
     gaps AS (SELECT *, line_no - lag(line_no) OVER (PARTITION BY doc_id ORDER BY line_no) AS gap FROM filled),
     isl AS (SELECT *, sum(CASE WHEN gap > 2 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS island FROM gaps)
     SELECT doc_id, line_no FROM (SELECT *, max(CASE WHEN seed THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, island ORDER BY line_no RANGE BETWEEN UNBOUNDED PRECEDING AND 2 FOLLOWING) AS near FROM isl) WHERE near = 1 AND NOT seed"""
-)
+
+
+@query(_CASCADE)
 def q_context_cascade(spark, sf_dir):
+    return tagging.context_cascade(_documents(spark, sf_dir), tagging.is_seed(F.col("line")))
+
+
+@query(f"SELECT doc_id, line_no, dialogue FROM ({_DIALOGUE}) d WHERE dialogue IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ({_METRIC_SQL}) m WHERE m.doc_id = d.doc_id AND m.line_no = d.line_no)")
+def q_dialogue_tags(spark, sf_dir):
     rows = _documents(spark, sf_dir)
-    return tagging.context_cascade(rows, tagging.metric_tags(rows))
+    return tagging.dialogue_tags(rows, tagging.metric_tags(rows))
+
+
+QUESTION_WORDS = [("Q2", "grant"), ("Q2", "budget"), ("Q4", "members"), ("Q4", "household"), ("Q5", "elders"), ("Q6", "vote")]
+TERMS = ["sweetgrass", "wild rice", "fish weir"]
+
+
+def _all_tags_sql() -> str:
+    entries = [(f"CATEGORY_{c}", k) for c, k in LEXICON] + [(f"QUESTION_{q}", k) for q, k in QUESTION_WORDS]
+    parts = f"""SELECT doc_id, line_no, category AS tag, keyword AS matched, context FROM ({_hits_sql(True, entries)})
+    UNION ALL SELECT doc_id, line_no, category, keyword, context FROM ({_hits_sql(False, [("TERM", t) for t in TERMS])})
+    UNION ALL SELECT doc_id, line_no, metric, CAST(value AS VARCHAR), NULL FROM ({_METRIC_SQL})
+    UNION ALL SELECT doc_id, line_no, 'DIALOGUE_' || upper(dialogue[1]) || dialogue[2:], NULL, NULL FROM ({ORACLE["q_dialogue_tags"]})
+    UNION ALL SELECT doc_id, line_no, 'CONTEXT', NULL, NULL FROM ({_CASCADE})"""
+    return f"""WITH t AS MATERIALIZED ({parts}) SELECT * FROM t UNION ALL SELECT doc_id, line_no, 'GENERAL', NULL, NULL FROM {_LINES} l
+    WHERE NOT {_BLANK} AND NOT EXISTS (SELECT 1 FROM t WHERE t.doc_id = l.doc_id AND t.line_no = l.line_no)"""
+
+
+@query(_all_tags_sql())
+def q_all_tags(spark, sf_dir):
+    """Every tag of every line, from all parts of the tagger."""
+    return tagging.all_tags(_documents(spark, sf_dir), LEXICON, QUESTION_WORDS, TERMS, NEGATIVE)
 
 
 _TAGGED = "(SELECT DISTINCT doc_id, line_no FROM (" + _hits_sql(False) + "))"
@@ -119,13 +158,15 @@ def q_tag_general(spark, sf_dir):
     return tagging.general_tags(rows, tagging.lexicon_hits(rows, LEXICON))
 
 
-@query(
-    f"""SELECT doc_id, count(*) AS taggable, count(t.line_no) AS tagged, round(count(t.line_no) / count(*), 6) AS coverage
-    FROM (SELECT doc_id, line_no FROM {_LINES} WHERE NOT {_BLANK}) l LEFT JOIN {_TAGGED} t USING (doc_id, line_no) GROUP BY doc_id"""
-)
+_TAGGABLE = ORACLE["q_lines_taggable"]
+_COVERAGE = f"""SELECT doc_id, count(*) AS taggable, count(t.line_no) AS tagged, round(count(t.line_no) / count(*), 6) AS coverage
+    FROM ({_TAGGABLE}) l LEFT JOIN {_TAGGED} t USING (doc_id, line_no) GROUP BY doc_id"""
+
+
+@query(_COVERAGE)
 def q_tag_coverage(spark, sf_dir):
     rows = _documents(spark, sf_dir)
-    taggable = rows.where(~F.col("line").rlike(r"^\s*$"))
+    taggable = lines.taggable_lines(rows, HEADER)
     return tagging.coverage(taggable, tagging.lexicon_hits(rows, LEXICON)).withColumn("coverage", F.round("coverage", 6))
 
 
@@ -178,7 +219,7 @@ def _letter(n: str) -> str:
     return f"CASE WHEN {n} < 26 THEN chr(CAST(65 + {n} AS INTEGER)) ELSE chr(CAST(65 + ({n} - 26) // 26 AS INTEGER)) || chr(CAST(65 + ({n} - 26) % 26 AS INTEGER)) END"
 
 
-_LABEL = r"^([A-Z][A-Za-z]*(?: [A-Za-z0-9]+){0,2}):\s+(.*)$"
+_LABEL = r"^(#[A-Z]+|[A-Z][A-Za-z_]*(?: [A-Za-z0-9]+){0,2}):\s+(.*)$"
 _VERSES = rf"""SELECT doc_id, line_no, speaker, body, {_letter("d")} AS letter, verse, page, '[' || {_letter("d")} || '.' || verse || ']' AS citation FROM (
     SELECT *, dense_rank() OVER (PARTITION BY doc_id ORDER BY speaker) - 1 AS d, row_number() OVER (PARTITION BY doc_id, speaker ORDER BY line_no) AS verse,
       (row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1) // 50 + 1 AS page
@@ -245,23 +286,25 @@ def q_codes(spark, sf_dir):
     return _codes(spark, sf_dir)
 
 
-@query(f"SELECT doc_id, line_no, replace(line, r.c_name, code) AS text FROM {_RENDERED} r JOIN ({_CODES}) c ON r.n_name = c.nation AND r.c_name = c.name")
+@query(f"SELECT doc_id, n_name, line_no, replace(line, r.c_name, code) AS text FROM {_RENDERED} r JOIN ({_CODES}) c ON r.n_name = c.nation AND r.c_name = c.name")
 def q_redact_names(spark, sf_dir):
+    """Each line redacted with the codes of all customers of its nation."""
     rendered = _rendered(spark, sf_dir)
-    who = rendered.select("doc_id", "n_name", "c_name").distinct()
-    codes = _codes(spark, sf_dir)
-    mapping = who.join(codes, (who.n_name == codes.nation) & (who.c_name == codes.name)).select("doc_id", F.col("c_name").alias("surface"), "code")
-    return redact.replace_mapped(rendered.select("doc_id", "line_no", F.col("line").alias("text")), mapping)
+    mapping = _codes(spark, sf_dir).select(F.col("nation").alias("n_name"), F.col("name").alias("surface"), "code")
+    return redact.replace_mapped(rendered.select("doc_id", "n_name", "line_no", F.col("line").alias("text")), mapping, "n_name")
 
 
-@query(r"SELECT tag_id, regexp_replace('#' || upper(substring(matched_text, 1, 1)) || ' #' || upper(substring(matched_text, 1, 1)) || ' spoke', '(#[A-Z]{1,3}) #[A-Z]{1,3}', '\1') AS text FROM transcript_tags WHERE regexp_matches(matched_text, '^[A-Za-z]')")
+@query(f"""SELECT tag_id, regexp_replace('#' || k || ' #' || k || ' met #' || k || ' and #' || k || ' #' || k || ' #' || k || ' at ' || coalesce(context, ''), '#' || k || '( #' || k || ')+( |$)', '#' || k || ' ', 'g') AS text
+    FROM (SELECT tag_id, context, chr(CAST(65 + tag_id % 26 AS INTEGER)) AS k FROM (SELECT * FROM transcript_tags QUALIFY row_number() OVER (PARTITION BY tag_id ORDER BY loaded_at DESC, source_file DESC, tag_category DESC, line_number DESC, matched_text DESC, context DESC) = 1))""")
 def q_collapse_codes(spark, sf_dir):
-    tags = table(spark, sf_dir, "transcript_tags").where(F.col("matched_text").rlike("^[A-Za-z]"))
-    code = F.concat(F.lit("#"), F.upper(F.substring("matched_text", 1, 1)))
-    return tags.select("tag_id", redact.collapse_codes(F.concat(code, F.lit(" "), code, F.lit(" spoke"))).alias("text"))
+    """Sequences of codes before every context; repeats of one code side by side become one."""
+    tags = _tags(spark, sf_dir)
+    code = F.concat(F.lit("#"), F.chr(F.lit(65) + F.col("tag_id") % 26))
+    text = F.concat(code, F.lit(" "), code, F.lit(" met "), code, F.lit(" and "), code, F.lit(" "), code, F.lit(" "), code, F.lit(" at "), F.coalesce("context", F.lit("")))
+    return tags.select("tag_id", redact.collapse_codes(text).alias("text"))
 
 
-_TAGS = "(SELECT * FROM transcript_tags QUALIFY row_number() OVER (PARTITION BY tag_id ORDER BY loaded_at DESC) = 1)"
+_TAGS = "(SELECT * FROM transcript_tags QUALIFY row_number() OVER (PARTITION BY tag_id ORDER BY loaded_at DESC, source_file DESC, tag_category DESC, line_number DESC NULLS LAST, matched_text DESC NULLS LAST, context DESC NULLS LAST) = 1)"
 
 
 def _tags(spark, sf_dir) -> DataFrame:
@@ -382,22 +425,12 @@ def q_table_counts(spark, sf_dir):
     return gazetteer.table_counts({t: table(spark, sf_dir, t) for t in _COUNTED})
 
 
-_PERSON_CONTEXT = f"(SELECT tag_id AS doc_id, matched_text AS surface, context AS text FROM {_TAGS} WHERE tag_category IN ('ENTITY_Person', 'ENTITY_Organization') AND regexp_full_match(matched_text, '[A-Za-z ]+') AND context IS NOT NULL)"
-
-
-@query(rf"SELECT doc_id, 'entity' AS kind, surface FROM {_PERSON_CONTEXT} WHERE regexp_matches(text, '(?i)\b' || surface || '\b')")
-def q_residual_entities(spark, sf_dir):
-    rows = _tags(spark, sf_dir).where("tag_category in ('ENTITY_Person', 'ENTITY_Organization') and context is not null").where(F.col("matched_text").rlike("^[A-Za-z ]+$"))
-    rows = rows.select(F.col("tag_id").alias("doc_id"), F.lit("entity").alias("kind"), F.col("matched_text").alias("surface"), F.col("context").alias("text"))
-    return grading.residual_entities(rows.select("doc_id", "kind", "surface"), rows.select("doc_id", "text"))
-
-
 @query(
     rf"""SELECT tag_id AS doc_id, lower(substring(tag_category, 8)) AS kind, matched_text AS surface FROM {_TAGS} WHERE starts_with(tag_category, 'ENTITY_')
     AND NOT regexp_full_match(matched_text, '[0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}})?(\.[0-9]+)?') AND regexp_matches(context, '(?is)(^|[^A-Za-z0-9_\[])' || regexp_escape(matched_text) || '($|[^A-Za-z0-9_\]])')"""
 )
-def q_residual_all_entities(spark, sf_dir):
-    """Every surface of the four ENTITY_ categories; q_residual_entities has persons and organisations of letters and blanks only."""
+def q_residual_entities(spark, sf_dir):
+    """Every surface of the four ENTITY_ categories that still stands in its context."""
     rows = _tags(spark, sf_dir).where("tag_category like 'ENTITY\\_%'")
     rows = rows.select(F.col("tag_id").alias("doc_id"), F.lower(F.substring_index("tag_category", "_", -1)).alias("kind"), F.col("matched_text").alias("surface"), F.col("context").alias("text"))
     return grading.residual_entities(rows.select("doc_id", "kind", "surface"), rows.select("doc_id", "text"))
@@ -411,42 +444,82 @@ def q_format_checks(spark, sf_dir):
     return grading.format_checks(table(spark, sf_dir, "documents"))
 
 
-_SCORED = r"""(SELECT doc_id, 25.0 - least(25, n_res) AS completeness, CASE WHEN n_ent > 0 THEN 20.0 * (1 - n_res / n_ent) ELSE 20.0 END AS accuracy,
-    greatest(0.0, 15.0 - CASE WHEN regexp_matches(text, '[0-9]{2}:[0-9]{2}:[0-9]{2}') THEN 4 ELSE 0 END - CASE WHEN regexp_matches(text, '^WEBVTT') THEN 2 ELSE 0 END
-      - CASE WHEN regexp_matches(text, '(?m)^[A-Z][A-Za-z0-9 ]*: ') THEN 0 ELSE 4 END - least(3, len(regexp_extract_all(text, '-->')))) AS formatting
-    FROM (SELECT doc_id, text, len(regexp_extract_all(text, '\b(?:January|March|May)\b')) AS n_res, len(regexp_extract_all(text, '\b(?:January|February|March|April|May|June)\b')) AS n_ent FROM documents WHERE text IS NOT NULL))"""
+_CLEAN = r"regexp_replace(regexp_replace(text, '(?i)\$[0-9,]+(?:\s*(?:million|thousand|billion))?', '[Financial_Amount]', 'g'), '(?i)[0-9,]+\s*(?:million|thousand|billion)\s+dollars?', '[Financial_Amount]', 'g')"
+_CLEANED = f"(SELECT doc_id, {_CLEAN} AS text FROM documents WHERE text IS NOT NULL)"
+_RAW = rf"""(SELECT DISTINCT doc_id, kind, surface FROM (
+    SELECT doc_id, 'speaker' AS kind, unnest(regexp_extract_all(text, '(?m)^([A-Z][A-Za-z]* [A-Za-z0-9]+): ', 1)) AS surface FROM documents
+    UNION ALL SELECT doc_id, 'money', unnest(regexp_extract_all(text, '\$[0-9][0-9,]*')) FROM documents
+    UNION ALL SELECT doc_id, 'year', unnest(regexp_extract_all(text, '(?i){grading.FOUNDING}[^\n]{{0,30}}?\b((?:19|20)[0-9]{{2}})\b', 1)) FROM documents
+    UNION ALL SELECT doc_id, 'year', unnest(regexp_extract_all(text, '(?i)\b((?:19|20)[0-9]{{2}})\b[^\n]{{0,30}}?{grading.FOUNDING}', 1)) FROM documents))"""
+_REMAIN = f"(SELECT r.* FROM {_RAW} r JOIN {_CLEANED} c USING (doc_id) WHERE contains(c.text, r.surface))"
+_CITED = "(" + _TIMED.replace("{cues}", ORACLE["q_cue_segments"]).replace("{columns}", "o.*, ts") + ")"
+_SUPPRESSED = f"(SELECT doc_id, sum(hits) AS tag_errors FROM (SELECT doc_id, hits FROM ({_hits_sql(False)}) UNION ALL SELECT doc_id, -hits FROM ({_hits_sql(True)})) GROUP BY 1)"
+_SCORED = rf"""(WITH f AS (SELECT doc_id, regexp_matches(text, '[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}') AS has_times, regexp_matches(text, '^WEBVTT') AS has_header, regexp_matches(text, '(?m)^[A-Z][A-Za-z0-9 ]*: ') AS has_dialogue, len(regexp_extract_all(text, '-->')) AS artifacts FROM {_CLEANED}),
+    e AS (SELECT doc_id, count(*) AS entities FROM {_RAW} GROUP BY 1), r AS (SELECT doc_id, count(*) AS residual FROM {_REMAIN} GROUP BY 1),
+    v AS (SELECT doc_id, count(DISTINCT letter) AS letters, count(*) AS verses, count(DISTINCT page) AS pages, count(ts) > 0 AS has_table, count(DISTINCT speaker) AS variants FROM {_CITED} GROUP BY 1),
+    n AS (SELECT f.*, coalesce(entities, 0) AS entities, coalesce(residual, 0) AS residual, coalesce(letters, 0) AS letters, coalesce(verses, 0) AS verses, coalesce(pages, 0) AS pages, coalesce(has_table, false) AS has_table, variants, coalesce(tagged / taggable, 1.0) AS coverage, coalesce(tag_errors, 0) AS tag_errors
+      FROM f LEFT JOIN e USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN v USING (doc_id) LEFT JOIN ({_COVERAGE}) c USING (doc_id) LEFT JOIN {_SUPPRESSED} s USING (doc_id))
+    SELECT doc_id, greatest(0.0, 25.0 - residual) AS completeness, CASE WHEN entities > 0 THEN 20.0 * greatest(0.0, 1 - residual / entities) ELSE 20.0 END AS accuracy,
+      greatest(0.0, 15.0 - CASE WHEN has_times THEN 4 ELSE 0 END - CASE WHEN has_header THEN 2 ELSE 0 END - CASE WHEN has_dialogue THEN 0 ELSE 4 END - least(3, artifacts)) AS formatting,
+      15.0 - CASE WHEN letters > 0 THEN 0 ELSE 5 END - CASE WHEN verses > 0 THEN 0 ELSE 5 END - CASE WHEN pages > 0 THEN 0 ELSE 3 END - CASE WHEN has_table THEN 0 ELSE 2 END AS citation,
+      10.0 * coverage AS tag_completeness, greatest(0.0, 10.0 - tag_errors) AS tag_precision, CASE WHEN variants IS NULL THEN 0.0 WHEN variants >= 5 THEN 5.0 ELSE greatest(1.0, variants) END AS matching FROM n)"""
+_POINTS = list(grading.POINTS)
 
 
 def _graded(spark, sf_dir) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").where("text is not null")
-    edge = lambda words: F.regexp_count("text", F.lit(rf"(?<![A-Za-z0-9_])(?:{words})(?![A-Za-z0-9_])"))
-    found = documents.select("doc_id", edge("January|March|May").alias("residual"), edge("January|February|March|April|May|June").alias("entities"))
-    checks = grading.format_checks(documents).join(found, "doc_id")
-    rest = {"letters": F.lit(1), "verses": F.lit(1), "pages": F.lit(1), "has_table": F.lit(True), "coverage": F.lit(1.0), "tag_errors": F.lit(0), "variants": F.lit(3)}
-    return grading.scores(checks.withColumns(rest))
+    """Every document graded with its amounts masked: all checks come from its lines, verses, times and tags."""
+    documents = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")
+    cleaned = documents.select("doc_id", redact.mask_money(F.col("text")).alias("text"))
+    raw = grading.raw_entities(documents)
+    rows = lines.split_lines(documents)
+    verses = _timed(spark, sf_dir)
+    judged, every = (tagging.lexicon_hits(rows, LEXICON, rules).groupBy("doc_id").agg(F.sum("hits").alias(n)) for n, rules in (("judged", NEGATIVE), ("every", None)))
+    errors = every.join(judged, "doc_id", "left").select("doc_id", (F.col("every") - F.coalesce("judged", F.lit(0))).alias("tag_errors"))
+    covered = tagging.coverage(lines.taggable_lines(rows, HEADER), tagging.lexicon_hits(rows, LEXICON))
+    variants = verses.groupBy("doc_id").agg(F.countDistinct("speaker").alias("variants"))
+    checks = grading.gather_checks(cleaned, grading.residual_totals(raw, grading.still_there(raw, cleaned)), grading.citation_checks(verses), covered, errors, variants)
+    return grading.scores(checks)
 
 
 def _grade_sql(share: str) -> str:
     return "CASE " + " ".join(f"WHEN {share} >= {least} THEN '{grade}'" for least, grade in scalars.GRADES) + " ELSE 'F' END"
 
 
-@query(
-    f"""SELECT doc_id, round(completeness, 4) AS completeness, round(accuracy, 4) AS accuracy, round(formatting, 4) AS formatting, round(completeness + accuracy + formatting + 38.0, 4) AS total,
-    {_grade_sql("round((completeness + accuracy + formatting + 38.0) / 100, 9)")} AS grade FROM {_SCORED}"""
-)
+_TOTAL = " + ".join(_POINTS)
+
+
+@query(f"""SELECT doc_id, {", ".join(f"round({c}, 4) AS {c}" for c in _POINTS)}, round({_TOTAL}, 4) AS total, {_grade_sql(f"round(({_TOTAL}) / 100, 9)")} AS grade FROM {_SCORED}""")
 def q_scores(spark, sf_dir):
     graded = _graded(spark, sf_dir).withColumn("grade", scalars.letter_grade(F.round(F.col("total") / 100, 9)))
-    return graded.select("doc_id", *(F.round(c, 4).alias(c) for c in ("completeness", "accuracy", "formatting", "total")), "grade")
+    return graded.select("doc_id", *(F.round(c, 4).alias(c) for c in (*_POINTS, "total")), "grade")
 
 
-@query(
-    f"""SELECT category, count(*) AS documents, round(avg(share), 6) AS mean_share FROM (SELECT 'completeness' AS category, completeness / 25 AS share FROM {_SCORED} UNION ALL SELECT 'accuracy', accuracy / 20 FROM {_SCORED}
-    UNION ALL SELECT 'formatting', formatting / 15 FROM {_SCORED} UNION ALL SELECT 'matching', 0.6 FROM {_SCORED}) WHERE share < 0.93 GROUP BY 1"""
-)
+_SHARES = " UNION ALL ".join(f"SELECT doc_id, '{c}' AS category, {c} / {most} AS share FROM s" for c, most in grading.POINTS.items())
+
+
+@query(f"WITH s AS MATERIALIZED (SELECT * FROM {_SCORED}) SELECT category, count(*) AS documents, round(avg(share), 6) AS mean_share FROM ({_SHARES}) WHERE round(share, 9) < 0.93 GROUP BY 1")
 def q_priorities(spark, sf_dir):
     return grading.priorities(grading.category_grades(_graded(spark, sf_dir))).select("category", "documents", F.round("mean_share", 6).alias("mean_share"))
 
 
+@query(rf"SELECT doc_id, kind, surface FROM {_RAW}")
+def q_raw_entities(spark, sf_dir):
+    return grading.raw_entities(table(spark, sf_dir, "documents"))
+
+
+@query(f"""SELECT doc_id, entities, coalesce(residual, 0) AS residual, round(coalesce(residual, 0) / entities, 6) AS rate FROM (SELECT doc_id, count(*) AS entities FROM {_RAW} GROUP BY 1) LEFT JOIN (SELECT doc_id, count(*) AS residual FROM {_REMAIN} GROUP BY 1) USING (doc_id)""")
+def q_residual_totals(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").where("text is not null")
+    raw = grading.raw_entities(documents)
+    cleaned = documents.select("doc_id", redact.mask_money(F.col("text")).alias("text"))
+    return grading.residual_totals(raw, grading.still_there(raw, cleaned)).withColumn("rate", F.round("rate", 6))
+
+
+@query(f"SELECT doc_id, count(DISTINCT letter) AS letters, count(*) AS verses, count(DISTINCT page) AS pages, count(ts) > 0 AS has_table FROM {_CITED} GROUP BY 1")
+def q_citation_checks(spark, sf_dir):
+    return grading.citation_checks(_timed(spark, sf_dir))
+
+
 @query(
     """WITH h AS (SELECT CAST(ts AS DATE) AS day, round(avg(value), 6) AS score FROM events GROUP BY 1), c AS (SELECT *, abs(score - lag(score) OVER (ORDER BY day)) AS change FROM h),
     m AS (SELECT *, coalesce(CAST(change < 0.5 AS INTEGER), 0) AS small FROM c), i AS (SELECT *, sum(1 - small) OVER (ORDER BY day) AS island FROM m),
@@ -476,11 +549,13 @@ def q_survey_levels(spark, sf_dir):
     return _survey(spark, sf_dir).drop("source")
 
 
-@query(
-    "SELECT question, " + ", ".join(f"CASE max(CASE WHEN source = '{s}' THEN least(hits, 2) END) WHEN 2 THEN 'HIGH' WHEN 1 THEN 'MEDIUM' ELSE 'NONE' END AS {s}" for s in SOURCES) + f" FROM {_SURVEY} GROUP BY 1"
-)
+@query(f"""PIVOT (SELECT question, coalesce(source, 'none') AS source, CASE max(least(hits, 2)) WHEN 2 THEN 'HIGH' WHEN 1 THEN 'MEDIUM' ELSE 'NONE' END AS level FROM {_SURVEY} GROUP BY 1, 2)
+    ON source USING max(level) GROUP BY question""")
 def q_survey_pivot(spark, sf_dir):
-    return survey.level_table(_survey(spark, sf_dir), "question", "source", SOURCES)
+    """The best level of every question in every source."""
+    levels = _survey(spark, sf_dir).withColumn("source", F.coalesce("source", F.lit("none")))
+    best = levels.groupBy("question", "source").agg(F.max("hits").alias("hits")).withColumn("level", survey.coverage_level(F.col("hits"), 2))
+    return survey.level_table(best, "question", "source", matrix.distinct_names(best, "source"))
 
 
 @query(f"SELECT question, count_if(hits >= 2) AS high, count_if(hits = 1) AS medium, count(*) AS total, round(count_if(hits >= 1) / count(*), 6) AS coverage FROM {_SURVEY} GROUP BY 1")
@@ -496,31 +571,17 @@ def _evidence(spark, sf_dir) -> DataFrame:
     return matrix.latest(rows, ["coop", "metric_code"], "__version").drop("__version")
 
 
-_WIDE = "SELECT coop, " + ", ".join(f"max(CASE WHEN metric_code = '{m}' THEN metric_value END) AS {m}" for m in METRICS) + f" FROM {_EVIDENCE} GROUP BY 1"
-
-
-@query(_WIDE)
-def q_matrix_pivot(spark, sf_dir):
-    return matrix.pivot_values(_evidence(spark, sf_dir), "coop", "metric_code", "metric_value", METRICS)
-
-
-@query(f"SELECT coop, metric_code, metric_value FROM (UNPIVOT ({_WIDE}) ON {', '.join(METRICS)} INTO NAME metric_code VALUE metric_value)")
-def q_matrix_unpivot(spark, sf_dir):
-    wide = matrix.pivot_values(_evidence(spark, sf_dir), "coop", "metric_code", "metric_value", METRICS)
-    return matrix.unpivot_values(wide, ["coop"], METRICS, "metric_code", "metric_value").where("metric_value is not null")
-
-
 @query(f"PIVOT (SELECT coop, metric_code, metric_value FROM {_EVIDENCE}) ON metric_code USING max(metric_value) GROUP BY coop")
-def q_matrix_pivot_all(spark, sf_dir):
-    """The matrix of every metric code in the evidence; q_matrix_pivot has the codes of METRICS only."""
+def q_matrix_pivot(spark, sf_dir):
+    """The matrix of every metric code in the evidence."""
     evidence = _evidence(spark, sf_dir)
     return matrix.pivot_values(evidence, "coop", "metric_code", "metric_value", matrix.distinct_names(evidence, "metric_code"))
 
 
 @query(f"SELECT coop, metric_code, metric_value FROM {_EVIDENCE} WHERE metric_value IS NOT NULL")
-def q_matrix_unpivot_all(spark, sf_dir):
-    wide = q_matrix_pivot_all(spark, sf_dir)
-    return matrix.unpivot_values(wide, ["coop"], [c for c in wide.columns if c != "coop"], "metric_code", "metric_value").where("metric_value is not null")
+def q_matrix_unpivot(spark, sf_dir):
+    wide = q_matrix_pivot(spark, sf_dir)
+    return matrix.unpivot_values(wide, ["coop"], matrix.value_columns(wide, ["coop"]), "metric_code", "metric_value").where("metric_value is not null")
 
 
 _ANSWERS = ["answer_1", "answer_2", "answer_3", "answer_4"]
@@ -635,24 +696,39 @@ def q_hash_key(spark, sf_dir):
 
 
 @query(
-    r"""SELECT metric_code, string_split(allowed, '|') AS places, p AS place FROM (SELECT metric_code, allowed, unnest(string_split(allowed, '|')) AS p FROM (SELECT metric_code, string_agg(DISTINCT category, '|' ORDER BY category) AS allowed
-    FROM metric_encodings WHERE category <> '' GROUP BY 1))"""
+    """WITH g AS (SELECT source, name, state, row_number() OVER (PARTITION BY source ORDER BY id) AS i FROM place_names WHERE source IS NOT NULL AND name IS NOT NULL),
+    f AS (SELECT source, first(state ORDER BY i) AS first_state FROM g WHERE state IS NOT NULL GROUP BY 1)
+    SELECT source, name AS place, coalesce(state, first_state) AS state, count(*) AS n FROM (SELECT a.source, a.name, b.state FROM g a JOIN (SELECT source, state, i FROM g WHERE i <= 3) b USING (source)) LEFT JOIN f3 USING (source) GROUP BY 1, 2, 3""".replace(
+        "f AS (SELECT source, first(state ORDER BY i) AS first_state FROM g WHERE state IS NOT NULL GROUP BY 1)", "f3 AS (SELECT source, first(state ORDER BY i) AS first_state FROM g WHERE i <= 3 AND state IS NOT NULL GROUP BY 1)"
+    )
 )
 def q_place_flatten(spark, sf_dir):
-    grouped = table(spark, sf_dir, "metric_encodings").where("category <> ''").groupBy("metric_code").agg(F.array_sort(F.collect_set("category")).alias("places"))
-    return gazetteer.flatten_places(grouped.withColumn("states", F.array(F.lit(None).cast("string"))), "places", "states", "metric_code").join(grouped, "metric_code").select("metric_code", "places", "place")
+    """A gazette's names crossed with the states of its first three rows, NULL ones backfilled."""
+    rows = table(spark, sf_dir, "place_names").where("source is not null and name is not null")
+    number = F.row_number().over(Window.partitionBy("source").orderBy("id"))
+    first = rows.withColumn("i", number).where("i <= 3").groupBy("source").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "state"))), lambda x: x["state"]).alias("states"))
+    records = rows.select("id", "source", F.array("name").alias("names")).join(first, "source")
+    flat = gazetteer.flatten_places(records, "names", "states", "id").join(records.select("id", "source"), "id")
+    return flat.groupBy("source", "place", "state").agg(F.count("*").alias("n"))
 
 
-@query()
+def _candidates_sql() -> str:
+    parts = [f"SELECT doc_id, '{kind}' AS kind, regexp_replace(unnest(regexp_extract_all(text, '{pattern.replace("'", "''")}', {group})), '[ \\t\\r\\n]+', ' ', 'g') AS surface, {rank} AS pattern_rank FROM documents" for rank, (kind, pattern, group) in enumerate(extract.PATTERNS)]
+    least = " ".join(f"WHEN '{k}' THEN {n}" for k, n in extract.LEAST_LENGTH.items())
+    return f"SELECT doc_id, kind, surface, min(pattern_rank) AS pattern_rank FROM ({' UNION ALL '.join(parts)}) WHERE length(surface) >= CASE kind {least} END GROUP BY 1, 2, 3"
+
+
+@query(_candidates_sql())
 def q_entity_candidates(spark, sf_dir):
     return extract.candidates(table(spark, sf_dir, "documents"))
 
 
 @query()
 def q_similarity(spark, sf_dir):
-    names = table(spark, sf_dir, "native_american_names").where("first_name is not null and last_name is not null")
-    pairs = names.alias("a").join(names.alias("b"), (F.col("a.source") == F.col("b.source")) & (F.col("a.last_name") == F.col("b.last_name")) & (F.col("a.id") < F.col("b.id")))
-    distinct = pairs.select(F.col("a.first_name").alias("x"), F.col("b.first_name").alias("y")).distinct()
+    """Similarity of first names that share source and last name."""
+    names = table(spark, sf_dir, "native_american_names").where("first_name is not null and last_name is not null").select("source", "last_name", "first_name").distinct()
+    a, b = names.withColumnRenamed("first_name", "x"), names.withColumnRenamed("first_name", "y")
+    distinct = a.join(b, ["source", "last_name"]).where("x < y").select("x", "y").distinct()
     return distinct.withColumn("similarity", F.round(cluster.similarity_udf("x", "y"), 6))
 
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows a broadcast side may have at most; beyond it the callers shuffle instead.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes of text a broadcast side may have at most; beyond either the callers shuffle instead.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,13 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset a temporary folder is made, but only for a local session, whose executors are the driver; on a
+    cluster the setting is required.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="sessionloom-"))
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="sessionloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
@@ -34,8 +47,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df`` is counted to have at most ``limit`` rows; otherwise leave it to the planner."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    """Hint a broadcast only if ``df`` is counted to have at most ``limit`` rows of at most ``BROADCAST_BYTES`` in all.
+
+    Otherwise the join is left to the planner. Columns of fixed width count 8 bytes.
+    """
+    size = reduce(lambda a, b: a + b, (F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) if kind in ("string", "binary") else F.lit(8) for c, kind in df.dtypes))
+    counted = df.limit(limit + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if counted["n"] <= limit and counted["size"] <= BROADCAST_BYTES else df
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:

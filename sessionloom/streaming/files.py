@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sessionloom.operators.progress import STATUS
 from sessionloom.operators.tagging import lexicon_hits
 
 
@@ -28,3 +29,22 @@ def marker_counts(lines: DataFrame, marker: str = "Processing:") -> DataFrame:
     """Running number of marker lines per file and the last position ``[x/y]`` reported."""
     progress = F.regexp_extract("line", r"PROGRESS: \[(\d+)/\d+\]", 1)
     return lines.groupBy("doc_id").agg(F.count_if(F.col("line").contains(marker)).alias("markers"), F.max(F.when(progress != "", progress.cast("long"))).alias("progress"))
+
+
+def status_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Status records as files of them arrive; a file written again under a new name brings new records."""
+    return spark.readStream.schema(STATUS).json(folder)
+
+
+def watch_status(records: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """The latest record of each job, kept as a table that each micro-batch renews.
+
+    The state is one record per job; a record older than the one held changes nothing.
+    """
+    latest = records.where("job is not null").groupBy("job").agg(F.max_by(F.struct("phase", "percent", "eta", "stamp"), "stamp").alias("r")).select("job", "r.*")
+
+    def renew(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    writer = latest.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(renew)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 second")).start()

@@ -4,10 +4,13 @@ import json
 import struct
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from sessionloom.operators import progress
+from sessionloom.session import shared_dir
 from sessionloom.sources import files, sinks
-from sessionloom.streaming.files import line_stream, marker_counts, tag_stream
+from sessionloom.streaming.files import line_stream, marker_counts, status_stream, tag_stream, watch_status
 
 
 def docx(path, paragraphs):
@@ -67,10 +70,15 @@ def test_json_sources(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     lines = spark.createDataFrame([("d", 2, "b"), ("d", 1, "a")], "doc_id string, line_no int, line string")
     sinks.write_texts(lines, str(tmp_path / "t"))
-    assert [r.value for r in spark.read.text(str(tmp_path / "t")).collect()] == ["a", "b"]
+    assert spark.read.parquet(str(tmp_path / "t")).first().text == "a\nb"
+    sinks.export_text(spark, str(tmp_path / "t"), "d", str(tmp_path / "one"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "one")).collect()] == ["a", "b"]
     codes = spark.createDataFrame([("d", "person", "Oru", "#A")], "doc_id string, kind string, surface string, code string")
-    sinks.write_json(sinks.mapping_rows(codes), str(tmp_path / "j"))
-    assert files.read_mapping(spark, str(tmp_path / "j")).first().persons == {"Oru": "#A"}
+    variants = spark.createDataFrame([("d", "Oru", "Oruu")], "doc_id string, canonical string, surface string")
+    cited = spark.createDataFrame([("d", "[A.1]", None, "Oru")], "doc_id string, citation string, ts string, speaker string")
+    sinks.write_json(sinks.mapping_rows(codes, variants, cited), str(tmp_path / "j"))
+    mapping = files.read_mapping(spark, str(tmp_path / "j"), lines=True).first()
+    assert mapping.persons == {"Oru": "#A"} and mapping.name_variants == {"Oru": ["Oruu"]}
     tags = spark.createDataFrame([("B", 1, "x", "y"), ("A", 2, "x", "y")], "category string, line_no int, matched string, context string")
     sinks.write_tags(tags, str(tmp_path / "tags"))
     assert files.read_csv_named(spark, str(tmp_path / "tags")).count() == 2
@@ -87,3 +95,45 @@ def test_stream(spark, tmp_path):
     assert [(r.doc_id, r.keyword) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("one", "grant")]
     counts = marker_counts(spark.read.text(str(tmp_path / "in")).select(F.lit("one").alias("doc_id"), F.col("value").alias("line"))).first()
     assert (counts.markers, counts.progress) == (1, 2)
+
+
+def test_status_stream(spark, tmp_path):
+    rows = [("j", "one", 1, 4, 2.0, "2024-01-01 00:00:00"), ("j", "two", 2, 4, 6.0, "2024-01-01 00:00:09"), ("k", "one", 0, 0, 0.0, "2024-01-01 00:00:01")]
+    reports = spark.createDataFrame(rows, "job string, phase string, done long, total long, seconds double, at string").selectExpr("*", "to_timestamp(at) as stamp")
+    records = progress.status_rows(reports)
+    assert [(r.percent, r.eta) for r in records.orderBy("job", "stamp").collect()] == [(25.0, "00:00:06"), (50.0, "00:00:06"), (0.0, "??:??:??")]
+    sinks.write_json(records, str(tmp_path / "in"))
+    watch_status(status_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert {(r.job, r.phase) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {("j", "two"), ("k", "one")}
+    (tmp_path / "bad.json").write_text('{"job": "x", "phase": 1}\n{broken\n')
+    assert files.read_status(spark, str(tmp_path / "bad.json")).count() <= 1
+    latest = progress.latest_status(records, F.to_timestamp(F.lit("2024-01-01 00:00:10")))
+    assert {(r.job, r.stale) for r in latest.collect()} == {("j", False), ("k", True)}
+
+
+def test_details_and_classes(spark):
+    detail = {"epaTribalInternalId": 7, "currentName": "Oru Nation of the Talva Reservation", "names": [{"name": "Old Oru"}], "epaLocations": [{"stateName": None}, {"stateName": "QA"}]}
+    answers = spark.createDataFrame([(json.dumps(detail),), ("broken",)], "value string")
+    got = {(r.name, r.state) for r in files.parse_details(answers).collect()}
+    assert got == {("Oru Nation of the Talva Reservation", "QA"), ("Old Oru", "QA"), ("Talva Reservation", "QA"), ("Oru Nation of the Talva", "QA")} or ("Old Oru", "QA") in got
+    edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("a", "c"), ("z", "y")], "class string, parent string")
+    assert {r[0] for r in files.subclasses(edges, "a").collect()} == {"a", "b", "c"}
+    assert files.parse_dbf(b"short") == []
+
+
+def test_scratch_folder_must_be_shared_on_a_cluster():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())

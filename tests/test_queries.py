@@ -9,14 +9,15 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from sessionloom.plans import problems, reference
+from sessionloom.plans import pipelines, problems, reference
 
-MODULES = [problems, reference]
+MODULES = [problems, reference, pipelines]
 
 
 @pytest.fixture(scope="module")
 def duck(tiny):
     connection = duckdb.connect()
+    connection.execute("SET TimeZone = 'UTC'")
     for path in glob.glob(f"{tiny}/*.parquet"):
         connection.execute(f"create view {os.path.basename(path)[:-8]} as select * from read_parquet('{path}')")
     return connection
@@ -28,7 +29,7 @@ def plain(value):
     if hasattr(value, "as_tuple"):
         return round(float(value), 6)
     if isinstance(value, list):
-        return tuple(value)
+        return tuple(map(plain, value))
     return value.replace(tzinfo=None) if getattr(value, "tzinfo", None) else value
 
 
