@@ -297,11 +297,11 @@ def _candidate_pairs(nodes: DataFrame, least: int, common: int) -> DataFrame:
     index = index.select(*own, "head", "tail", "k.block", "k.longer")
     block = Window.partitionBy("block")
     sized = index.withColumn("size", F.count("*").over(block)).withColumn("least", F.min("longer").over(block)).withColumn("most", F.max("longer").over(block))
-    sized = sized.where("size > 1 and (longer is null or least <> most)")
+    sized = cut(sized.where("size > 1 and (longer is null or least <> most)").select(*own, "head", "tail", "block", "size"))
     plain = sized.where(F.col("size") <= common).select(*own, "block")
 
     # names that lack the refining field meet those of every value of it
-    large = cut(sized.where(F.col("size") > common).select(*own, "head", "tail", "block"))
+    large = sized.where(F.col("size") > common).drop("size")
     values = large.where("refine is not null").select("block", F.col("refine").alias("value")).distinct()
     every = large.where("refine is null").join(values, "block").withColumn("fine", F.xxhash64("block", "value"))
     fine = large.withColumn("fine", F.xxhash64("block", F.coalesce("refine", F.lit(0)))).unionByName(every.drop("value"))
@@ -309,7 +309,7 @@ def _candidate_pairs(nodes: DataFrame, least: int, common: int) -> DataFrame:
     two = F.array(F.xxhash64("fine", F.lit("<"), "head"), F.xxhash64("fine", F.lit(">"), "tail"))
     fine = fine.select(*own, F.explode(F.when(F.col("n") <= common, F.array("fine")).otherwise(two)).alias("block"))
 
-    blocks = cut(plain.unionByName(fine))
+    blocks = plain.unionByName(fine)
     a, b = (blocks.select("block", *(F.col(c).alias(f"{side}_{c}") for c in own)) for side in "ab")
     alike = lambda x, y: _alike(F.col(x), F.col(y))
     straight, swapped = alike("a_one", "b_one") & alike("a_two", "b_two"), alike("a_one", "b_two") & alike("a_two", "b_one")
