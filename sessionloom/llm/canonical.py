@@ -119,6 +119,9 @@ def check(value: Sequence[str], entry: Entry, kinds: frozenset[str]) -> tuple[fl
 
 #: N-grams are counted by their hash in so many places, which bounds the frequencies the driver holds.
 GRAM_PLACES = 1 << 20
+#: N-grams are probed until the rest of them can make up no more than this part of the threshold: the more are probed,
+#: the fewer entries are scored in vain. No entry is lost whatever it is.
+PROBED = 2 / 3
 #: A word is a kind of place if this share of the entries has it, and three of them at least.
 KIND_SHARE, KIND_LEAST = 0.02, 3
 
@@ -177,11 +180,11 @@ def map_to_canonical(values: DataFrame, reference: DataFrame, threshold: float =
     normal = values.select("kind", "value", "hint").distinct()
     normal = cut(spread(normal, "value").mapInPandas(_normalised("kind", "value", "hint"), "kind string, value string, hint string, norm string").withColumn("form", F.xxhash64("kind", "norm")))
     forms = normal.where("norm <> ''").select("kind", "norm", "form").distinct()
-    probes = forms.mapInPandas(_postings(weights, threshold, "form"), "kind string, form long, gram int, weight double, rest double")
+    probes = spread(forms, "form").mapInPandas(_postings(weights, threshold * PROBED, "form"), "kind string, form long, gram int, weight double, rest double")
     shared = probes.alias("v").join(broadcast_if_small(index.select("kind", "gram", "ref_id", "weight")).alias("e"), ["kind", "gram"])
-    reached = shared.groupBy("kind", "form", "ref_id").agg(F.sum(F.col("v.weight") * F.col("e.weight")).alias("dot"), F.max("rest").alias("rest"))
-    found = reached.where(F.col("dot") + F.col("rest") >= threshold - 1e-9).select("kind", "form", "ref_id")
-    paired = found.join(forms, ["kind", "form"]).join(broadcast_if_small(entries.withColumnRenamed("norm", "entry")), ["kind", "ref_id"])
+    reached = shared.groupBy("form", "ref_id").agg(F.sum(F.col("v.weight") * F.col("e.weight")).alias("dot"), F.max("rest").alias("rest"))
+    found = reached.where(F.col("dot") + F.col("rest") >= threshold - 1e-9).select("form", "ref_id")
+    paired = found.join(forms, "form").join(broadcast_if_small(entries.withColumnRenamed("norm", "entry")), ["kind", "ref_id"])
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
