@@ -16,6 +16,8 @@ def fold(text: str | None) -> str:
     """Clean form, run-together words parted at inner capitals, no accents, no letter case."""
     if not text:
         return ""
+    if text.isascii() and text.isprintable():  # clean but for its blanks
+        return _CAMEL.sub(" ", " ".join(text.split())).lower()
     bare = "".join(c for c in unicodedata.normalize("NFD", clean_text(text)) if not unicodedata.combining(c))
     return unicodedata.normalize("NFC", _CAMEL.sub(" ", bare).casefold())
 

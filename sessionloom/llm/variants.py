@@ -267,34 +267,36 @@ def _attach(entity: DataFrame, weak: DataFrame, level: int, best: int) -> DataFr
 LONGEST_SUFFIX = 48
 
 
-def block_keys(least: int) -> Column:
-    """Blocks of a node (group, scope, kind, parts): block, the one letter longer block it lies in (NULL if there is none).
+def block_keys(nodes: DataFrame, kept: list[str], least: int) -> DataFrame:
+    """Blocks of nodes (group, scope, kind, parts): ``kept``, block, the one letter longer block it lies in (NULL if none).
 
     Suffixes of the parts from ``least`` letters, read from either end; whole tokens of two letters or more; the
-    acronym of an organisation.
+    acronym of an organisation. Lengths are exploded first, so that keys are made by generated code.
     """
-    key = lambda mark, text: F.xxhash64("group", "scope", F.lit(mark), text)
-
-    def of(part: Column) -> Column:
-        size = F.length(part)
-        whole = F.struct(key("=", part).alias("block"), F.lit(None).cast("long").alias("longer"))
-        sizes = F.when(size > least, F.sequence(F.lit(least), F.least(size - 1, F.lit(LONGEST_SUFFIX)))).otherwise(F.array().cast("array<int>"))
-        longer = lambda mark, text, n: F.when(n + 1 == size, key("=", part)).when(n < LONGEST_SUFFIX, key(mark, text)).alias("longer")
-        ends = F.transform(sizes, lambda n: F.struct(key("<", F.right(part, n)).alias("block"), longer("<", F.right(part, n + 1), n)))
-        starts = F.transform(sizes, lambda n: F.struct(key(">", F.left(part, n)).alias("block"), longer(">", F.left(part, n + 1), n)))
-        return F.when(size > 1, F.concat(F.array(whole), ends, starts)).otherwise(F.concat(ends, starts))
-
     acronym = F.array_join(F.transform("parts", lambda p: F.left(p, F.lit(1))), "")
     spelled = F.when((F.col("kind") == "organization") & (F.size("parts") > 2), F.array_append("parts", acronym)).otherwise(F.col("parts"))
-    return F.flatten(F.transform(F.array_distinct(spelled), of))
+    parts = nodes.withColumn("inside", F.xxhash64("group", "scope")).select(*kept, "inside", F.explode(F.array_distinct(spelled)).alias("part"))
+    size, n = F.length("part"), F.col("n")
+    suffixes = F.sequence(F.lit(least), F.least(size, F.lit(LONGEST_SUFFIX)))
+    sizes = F.when(size <= least, F.array(size)).when(size <= LONGEST_SUFFIX, suffixes).otherwise(F.array_append(suffixes, size))
+    lengths = parts.where(size > 1).select(*kept, "inside", "part", F.explode(sizes).alias("n"))
+    key = lambda mark, text: F.xxhash64("inside", F.lit(mark), text)
+    whole = key("=", F.col("part"))
+    longer = lambda mark, text: F.when(n + 1 == size, whole).when(n < LONGEST_SUFFIX, key(mark, text)).alias("longer")
+    block = lambda x, y: F.struct(x.alias("block"), y)
+    end = block(key("<", F.right("part", n)), longer("<", F.right("part", n + 1)))
+    start = block(key(">", F.left("part", n)), longer(">", F.left("part", n + 1)))
+    alone = block(whole, F.lit(None).cast("long").alias("longer"))
+    found = F.when(n == size, F.array(alone)).otherwise(F.array(end, start))
+    return lengths.select(*kept, F.explode(found).alias("k")).select(*kept, "k.block", "k.longer")
 
 
 def _candidate_pairs(nodes: DataFrame, least: int, common: int) -> DataFrame:
     """Pairs (a, b) of nodes that share a block and whose sketches are alike."""
     own = ["node", "refine", "one", "two"]
     ends = F.concat_ws("", F.transform(F.array_sort("parts"), lambda p: F.left(p, F.lit(1)))), F.concat_ws("", F.array_sort(F.transform("parts", lambda p: F.right(p, F.lit(1)))))
-    index = nodes.select("node", "refine", F.col("sketch")[0].alias("one"), F.col("sketch")[1].alias("two"), *(F.hash(e).alias(n) for e, n in zip(ends, ("head", "tail"), strict=True)), F.explode(block_keys(least)).alias("k"))
-    index = index.select(*own, "head", "tail", "k.block", "k.longer")
+    sketched = nodes.select("kind", "group", "scope", "parts", "node", "refine", F.col("sketch")[0].alias("one"), F.col("sketch")[1].alias("two"), *(F.hash(e).alias(n) for e, n in zip(ends, ("head", "tail"), strict=True)))
+    index = block_keys(sketched, [*own, "head", "tail"], least)
     block = Window.partitionBy("block")
     sized = index.withColumn("size", F.count("*").over(block)).withColumn("least", F.min("longer").over(block)).withColumn("most", F.max("longer").over(block))
     sized = cut(sized.where("size > 1 and (longer is null or least <> most)").select(*own, "head", "tail", "block", "size"))
