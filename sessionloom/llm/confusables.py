@@ -3,20 +3,19 @@
 Per token the resolved script sets of its letters are intersected: a letter may stand for its own script and for every
 script that has a look-alike of it. The intersection tells single-script tokens, mixed-script confusables (only one
 script fits all letters) and whole-script confusables (several fit) apart, and the token is spelled in the script
-selected. Invisible characters, blanks, apostrophes, hyphens, digits and compatibility forms are normalised around it.
+selected. Scripts that are rarely confused as a whole count where they stand beside Latin letters in one word; their
+look-alikes are taken from the Unicode data of the session's JVM. Invisible characters, blanks, apostrophes, hyphens, digits and compatibility forms are normalised around it.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 # Look-alikes of Latin letters, script by script (public Unicode confusables data).
 LOOKALIKES = {
@@ -77,6 +76,34 @@ def _plain(c: str) -> str:
     return c
 
 
+@lru_cache(maxsize=1)
+def _letters() -> tuple[str, ...]:
+    """Letters of all scripts but Latin that have no plain Latin form of their own."""
+    every = (chr(c) for c in range(0xA1, 0x20000))
+    return tuple(c for c in every if unicodedata.category(c)[0] == "L" and _script(c) != "LATIN" and _plain(c) == c)
+
+
+def session_lookalikes(spark: SparkSession) -> dict[str, str]:
+    """Letters of any other script that look like one ordinary Latin letter, by the Unicode confusables data of ICU.
+
+    All letters go through ICU's skeleton in one call; those whose skeleton is that of a Latin letter look like it.
+    Where the session gives no access to its JVM the fixed tables are all there is.
+    """
+    try:
+        checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    except (AttributeError, TypeError):
+        return dict(_TO_LATIN)
+    latin: dict[str, list[str]] = {}
+    for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz":
+        latin.setdefault(checker.getSkeleton(c), []).append(c)
+    letters = _letters()
+    found = {}
+    for c, skeleton in zip(letters, checker.getSkeleton("\n".join(letters)).split("\n"), strict=True):
+        if forms := latin.get(skeleton):
+            found[c] = next((x for x in forms if x.isupper() == c.isupper()), forms[0])
+    return found | _TO_LATIN
+
+
 def _spell(token: str, letters: list[str], fits: frozenset[str], latin_text: bool) -> str:
     """The token in the script that fits all its letters; unchanged if none does."""
     own = {_script(c) for c in letters}
@@ -90,10 +117,10 @@ def _spell(token: str, letters: list[str], fits: frozenset[str], latin_text: boo
     return token
 
 
-def clean_text(text: str | None) -> str | None:
+def clean_text(text: str | None, lookalikes: Mapping[str, str] | None = None) -> str | None:
     """The clean form; NULL stays NULL. Spelling and letter case are kept; the function is idempotent.
 
-    A word wholly in another script stays as it is unless every letter of it has a Latin look-alike and the text
+    ``lookalikes`` gives further letters their Latin look-alike, in words that hold Latin letters too. A word wholly in another script stays as it is unless every letter of it has a Latin look-alike and the text
     around it is Latin. A word whose letters fit no single script keeps them.
     """
     if text is None:
@@ -104,6 +131,10 @@ def clean_text(text: str | None) -> str | None:
     for token in tokens:
         letters = [c for c in token if unicodedata.category(c)[0] == "L"]
         fits = frozenset.intersection(*map(_resolved, letters)) if letters else frozenset()
+        if lookalikes and letters and not fits and any(_script(c) == "LATIN" for c in letters) and all(_script(c) == "LATIN" or c in lookalikes for c in letters):
+            token = "".join(lookalikes.get(c, c) for c in token)
+            letters = [c for c in token if unicodedata.category(c)[0] == "L"]
+            fits = frozenset.intersection(*map(_resolved, letters))
         parsed.append((token, letters, fits))
     whole = [{_script(c) for c in letters} for _, letters, fits in parsed if letters and "LATIN" not in fits]
     latin = any("LATIN" in fits and (len(own := {_script(c) for c in letters}) > 1 or "LATIN" in own) for _, letters, fits in parsed)
@@ -112,21 +143,11 @@ def clean_text(text: str | None) -> str | None:
     return unicodedata.normalize("NFC", " ".join(words))
 
 
-@pandas_udf(T.StringType())
-def _clean_udf(values: pd.Series) -> pd.Series:
-    return values.map({v: clean_text(v) for v in values.dropna().unique()}).where(values.notna(), None)
-
-
 def suspicious(value: Column) -> Column:
     """Whether the value can differ from its clean form at all: anything but single-spaced printable ASCII."""
     return value.rlike(r"[^\x20-\x7e]|^ | $|  ")
 
 
-def clean_column(value: Column) -> Column:
-    """The clean form of a column; plain ASCII values never leave the JVM."""
-    return F.when(suspicious(value), _clean_udf(F.when(suspicious(value), value))).otherwise(value)
-
-
 def clean_dictionary(values: DataFrame, column: str) -> DataFrame:
     """Rows of ``values`` whose ``column`` isn't in clean form, with ``clean_text`` beside the other columns.
 
@@ -134,10 +155,11 @@ def clean_dictionary(values: DataFrame, column: str) -> DataFrame:
     """
     schema = values.drop("clean_text")
     out = schema.schema.add("clean_text", "string")
+    lookalikes = session_lookalikes(values.sparkSession)
 
     def clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            forms = {v: clean_text(v) for v in batch[column].unique()}
+            forms = {v: clean_text(v, lookalikes) for v in batch[column].unique()}
             batch["clean_text"] = batch[column].map(forms)
             yield batch[batch["clean_text"] != batch[column]]
 

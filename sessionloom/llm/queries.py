@@ -112,6 +112,16 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return container_fill(p7_plan(spark, sf_dir), table(spark, sf_dir, "container_sizes"))
 
 
+def p7_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each capacity and document: how often it was placed, and how many of its containers hold too much."""
+    plan = p7_plan(spark, sf_dir)
+    loads = plan.groupBy("container", "container_id").agg(F.sum("n_tokens").alias("load"))
+    sizes = table(spark, sf_dir, "container_sizes").select("container", "capacity_tokens")
+    full = loads.join(sizes, "container").withColumn("over", (F.col("load") > F.col("capacity_tokens")).cast("long"))
+    each = plan.join(full.select("container_id", "over"), "container_id")
+    return each.groupBy("container", "doc_id").agg(F.count_if(F.col("part") == 0).alias("placed"), F.sum("over").alias("overfull"))
+
+
 def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     documents = with_token_count(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "text")
     return mix_sources(documents, table(spark, sf_dir, "mix_targets"))
@@ -127,6 +137,21 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir)[1]
 
 
+def p8_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each target source: whether no document is repeated beyond the cap, and the share is met as closely as whole documents allow.
+
+    Each source is off its quota by at most half of its longest document; together they put the total off by as much.
+    """
+    _, shares = _mix(spark, sf_dir)
+    sized = with_token_count(table(spark, sf_dir, "documents").select("source", "text"), "text")
+    longest = sized.groupBy("source").agg(F.max("n_tokens").alias("longest"))
+    joined = shares.join(longest, "source", "left").na.fill(0, ["longest"])
+    whole = joined.agg(F.sum("tokens").alias("whole"), F.sum("target_share").alias("weight"), (F.sum("longest") / 2).alias("halves"))
+    share = F.col("target_share") / F.col("weight")
+    met = F.abs(F.col("tokens") - share * F.col("whole")) <= F.col("longest") / 2 + share * F.col("halves") + 1
+    return joined.join(F.broadcast(whole)).select("source", (F.col("most_repeats") <= F.col("max_repeats")).alias("within_cap"), met.alias("share_met"))  # whole is one row
+
+
 def p9_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words, share of them outside prose, and whether it is flagged."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -138,6 +163,10 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_pages(spark, sf_dir).where("flagged").select("doc_id").distinct()
 
 
-_ALL = (p3_found, p3_redacted, p4_found, p5_found, p6_found, p6_entities, p7_plan, p7_fill, p8_plan, p8_shares, p9_found, p9_pages)
+_ALL = (p3_found, p3_redacted, p4_found, p5_found, p6_found, p6_entities, p7_plan, p7_fill, p7_placed, p8_plan, p8_shares, p8_kept, p9_found, p9_pages)
 QUERIES = {query.__name__: query for query in _ALL}
-ORACLE: dict[str, str] = {}
+#: Plans have no answer in SQL; what must hold of them has.
+ORACLE: dict[str, str] = {
+    "p7_placed": "SELECT container, doc_id, CAST(1 AS BIGINT) AS placed, CAST(0 AS BIGINT) AS overfull FROM container_sizes, documents",
+    "p8_kept": "SELECT source, true AS within_cap, true AS share_met FROM mix_targets",
+}

@@ -1,5 +1,9 @@
 """The queries run on the smallest tables, with the columns that are wanted."""
 
+import glob
+import os
+
+import duckdb
 import pytest
 
 from sessionloom.llm import queries
@@ -17,3 +21,11 @@ def test_query(spark, tiny, name):
     if name in COLUMNS:
         assert df.columns == COLUMNS[name] and len(rows) == len(set(rows))
     assert rows or name == "p9_found"
+    if name in queries.ORACLE:
+        duck = duckdb.connect()
+        for path in glob.glob(f"{tiny}/*.parquet"):
+            duck.execute(f"create view {os.path.basename(path)[:-8]} as select * from read_parquet('{path}')")
+        cursor = duck.execute(queries.ORACLE[name])
+        names = [d[0] for d in cursor.description]
+        assert sorted(names) == sorted(df.columns)
+        assert sorted(cursor.fetchall()) == sorted(tuple(r[c] for c in names) for r in rows)

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sessionloom.llm.confusables import clean_dictionary, clean_text
+from sessionloom.llm.confusables import _TO_LATIN, clean_dictionary, clean_text, session_lookalikes
 from sessionloom.llm.lines import Labeller, count_lines, fit, label_pages, learn_lines
 from sessionloom.llm.personal import NameLexicon, find_personal, find_spans, learn_names, redact, split_mentions
 
@@ -131,6 +131,17 @@ def test_clean_text_is_idempotent(text):
     assert clean_text(once) == once
 
 
+def test_lookalikes_of_every_script(spark):
+    table = session_lookalikes(spark)
+    assert len(table) > 250 and table.items() >= _TO_LATIN.items()
+    assert clean_text("\ua4eenna went", table) == "Anna went" and clean_text("\ua4eenna") == "\ua4eenna"
+    assert clean_text("\u1431\u14da\u14a5 Union", table) == "\u1431\u14da\u14a5 Union"
+    for c, latin in table.items():
+        assert clean_text(f"fkt{c}", table) == f"fkt{latin}"
+    rows = spark.createDataFrame([(1, "T\U00010404lva"), (2, "\ua4ee\ua4f3")], "id long, v string")
+    assert [(r.id, r.clean_text) for r in clean_dictionary(rows, "v").collect()] == [(1, "TOlva")]
+
+
 def test_clean_dictionary_edge_cases(spark):
     df = spark.createDataFrame([(1, "plain", "x"), (2, None, "y"), (3, "", "z"), (4, "two  blanks", "c"), (4, "two  blanks", "c"), (5, "ａ" * 50_000, "q")], "id long, v string, clean_text string")
     got = clean_dictionary(df, "v").collect()
