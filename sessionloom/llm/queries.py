@@ -141,13 +141,14 @@ def p8_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each target source: whether no document is repeated beyond the cap, and the share is met as closely as whole documents allow.
 
     Each source is off its quota by at most half of its longest document; together they put the total off by as much.
+    A source without tokens has no share, and the others have it in proportion.
     """
     _, shares = _mix(spark, sf_dir)
     sized = with_token_count(table(spark, sf_dir, "documents").select("source", "text"), "text")
     longest = sized.groupBy("source").agg(F.max("n_tokens").alias("longest"))
     joined = shares.join(longest, "source", "left").na.fill(0, ["longest"])
-    whole = joined.agg(F.sum("tokens").alias("whole"), F.sum("target_share").alias("weight"), (F.sum("longest") / 2).alias("halves"))
-    share = F.col("target_share") / F.col("weight")
+    whole = joined.agg(F.sum("tokens").alias("whole"), F.sum(F.when(F.col("longest") > 0, F.col("target_share"))).alias("weight"), (F.sum("longest") / 2).alias("halves"))
+    share = F.when(F.col("longest") > 0, F.col("target_share") / F.col("weight")).otherwise(0.0)
     met = F.abs(F.col("tokens") - share * F.col("whole")) <= F.col("longest") / 2 + share * F.col("halves") + 1
     return joined.join(F.broadcast(whole)).select("source", (F.col("most_repeats") <= F.col("max_repeats")).alias("within_cap"), met.alias("share_met"))  # whole is one row
 
