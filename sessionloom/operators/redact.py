@@ -90,18 +90,22 @@ def replace_mapped(texts: DataFrame, mapping: DataFrame, key: str = "doc_id", fi
     A surface is replaced as a whole word, letter case aside, but not inside square brackets; codes are never matched
     again. With a column ``kind`` the kinds are replaced one after the other in the order of ``KIND_ORDER``; with
     ``first_names`` first names of one person's code are replaced in their contexts behind persons. Of equal surfaces of
-    a kind the least code stands. Documents without a mapping and NULL texts stay as they are.
+    a kind the least code stands. Documents without a mapping or a key and NULL texts stay as they are.
 
     Rows and mappings meet in groups of about ``chunk_rows`` rows: several small keys, or one chunk of a key of more
-    rows, each chunk with the key's mapping. So the names of a session and a chunk of its rows bound what a task holds.
+    rows, each chunk with the key's mapping. A key of more names than that has chunks of as many rows as names, so that
+    copies of the mapping never outgrow the rows. The names of a session and a chunk of its rows bound what a task holds.
     """
     kind = F.col("kind") if "kind" in mapping.columns else F.lit("person")
-    key_of = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    pairs = mapping.where("surface is not null and surface <> '' and code is not null").groupBy(key_of.alias("__key"), kind.alias("kind"), "surface").agg(F.min("code").alias("code"))
+    key_of = F.coalesce(F.col(key).cast("string"), F.lit("\0"))
+    pairs = mapping.where("surface is not null and surface <> '' and code is not null").where(F.col(key).isNotNull()).groupBy(key_of.alias("__key"), kind.alias("kind"), "surface").agg(F.min("code").alias("code"))
     counts = cut(texts.groupBy(key_of.alias("__key")).count())
     total = counts.agg(F.sum("count")).first()[0] or 0
     groups = max(-(-total // chunk_rows), int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot = broadcast_if_small(counts.where(F.col("count") > chunk_rows).select("__key", F.ceil(F.col("count") / chunk_rows).cast("int").alias("__chunks")))
+    named = pairs.groupBy("__key").agg(F.count("*").alias("names"))
+    at_once = F.greatest(F.lit(chunk_rows), F.coalesce("names", F.lit(0)))
+    hot = counts.where(F.col("count") > chunk_rows).join(named, "__key", "left").select("__key", F.ceil(F.col("count") / at_once).cast("int").alias("__chunks"))
+    hot = broadcast_if_small(cut(hot))
 
     def grouped(df: DataFrame, chunk: Column) -> DataFrame:
         out = df.join(hot, "__key", "left").withColumn("__chunk", chunk)
