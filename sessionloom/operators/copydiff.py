@@ -30,7 +30,9 @@ def canonical_value(value: Column) -> Column:
 
     Letter case and inner white space are part of the value; ``1,200``, ``1200`` and ``1200.0`` are one number.
     """
-    text = F.regexp_replace(value.cast("string"), _EDGES, "")
+    value = value.cast("string")
+    printed = lambda c: F.ascii(c).between(33, 126)
+    text = F.when(printed(F.left(value, F.lit(1))) & printed(F.right(value, F.lit(1))), value).otherwise(F.regexp_replace(value, _EDGES, ""))
     number = F.regexp_replace(text, "[,+]", "")
     number = F.regexp_replace(number, r"^(-?)0+(?=\d)", "$1")
     number = F.regexp_replace(number, r"(\.\d*?)0+$", "$1")
