@@ -140,6 +140,21 @@ def test_gazetteer(spark):
     assert sorted((r.id, r.place, r.state) for r in flat.where("id = 1").collect()) == [(1, "p", "QA"), (1, "p", "QA"), (1, "q", "QA"), (1, "q", "QA")]
 
 
+def test_build_table(spark):
+    good = spark.createDataFrame([("Oru", None, "QA"), ("ORU", None, "QA"), (None, "town", "QA")], "name string, kind string, state string").withColumns({"tribe": F.lit(None).cast("string"), "from": F.lit("a")})
+    places = gazetteer.place_records(good, "name", "kind", "tribe", "state", "from")
+    later = spark.createDataFrame([("oru", "unknown", "QA"), ("Vale", "town", None), ("Vale", "town", None)], "name string, type string, state string")
+    table, rejected = gazetteer.build_table("place_names", [places, later])
+    assert {(r.name.lower(), r.type, r.state) for r in table.collect()} == {("oru", "unknown", "QA"), ("vale", "town", None)} and rejected.count() == 1
+    assert table.columns == gazetteer.TABLES["place_names"][0]
+    empty = places.limit(0)
+    assert gazetteer.first_filled([empty, places, later]) is places and gazetteer.first_filled([empty, empty]) is empty
+    counts = {r.table_name: r.n_rows for r in gazetteer.table_counts({"a": places, "b": empty}).collect()}
+    assert counts == {"a": 3, "b": 0, None: 3}
+    names = spark.createDataFrame([("Oru Reservation",), ("Oru Band of the Talva River, Aland",), (None,)], "n string")
+    assert [r[0] for r in names.select(gazetteer.places_in_name(F.col("n"), ["Aland"])).collect()] == [["Oru"], ["Talva River", "Aland"], []]
+
+
 def test_number_rows_agrees_with_a_window(spark):
     df = spark.range(1000).withColumn("x", F.col("id") * 7919 % 1000)
     got = {r.x: r.rank for r in number_rows(df.select("x"), [F.desc("x")], "rank").collect()}

@@ -41,6 +41,12 @@ def test_equal_values_and_changes(spark):
     assert differences(spark, base, copy) == {(2, "m", "a", "changed")}
 
 
+def test_edges_of_any_white_space(spark):
+    base = [(1, "m", "\u00a0Yes", "x", 1), (2, "m", "\tNo\u2003", "\u0085-1", 1), (3, "m", "\u00e9", "a\u00a0b", 1), (4, "m", " ", "(1)", 1)]
+    copy = [(1, "m", "Yes", "x\n", 1), (2, "m", "No", None, 1), (3, "m", "\u00e9 ", "a b", 1), (4, "m", "", "(1) ", 1)]
+    assert differences(spark, base, copy) == {(3, "m", "b", "changed")}
+
+
 def test_missing_rows_nulls_ties_and_repeats(spark):
     base = [(1, "m", "old", "b", 1), (1, "m", "new", "b", 2), (None, None, "a", "b", 1), (2, "m", "a", "b", None), (2, "m", "a", "b", None), (4, "m", "p", "b", 1), (4, "m", "q", "b", 1)]
     copy = [(1, "m", "new", "b", 1), (None, None, "a", "c", 1), (3, "m", "a", "b", 1), (4, "m", "q", "b", 1)]
