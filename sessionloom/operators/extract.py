@@ -117,6 +117,7 @@ def entities(texts: DataFrame, first: DataFrame, last: DataFrame, tribal: DataFr
     proposed = candidates(hidden, key, text)
     if recognized is not None:
         proposed = merge_recognized(proposed, recognized, key)
+    proposed = cut(proposed)  # read by every kind; far smaller than the texts
     people = valid_names(proposed.where("kind = 'person'"), first, last, "surface", STOP_WORDS)
     people = people.where(F.col("valid") | ((F.col("pattern_rank") == 0) & (F.size(F.split("surface", " ")) > 1))).drop("valid")
     places = proposed.where("kind = 'location'").withColumn("context", F.col("surface"))
