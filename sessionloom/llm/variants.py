@@ -218,7 +218,7 @@ def link_variants(rows: DataFrame, least_suffix: int = 4, common_block: int = 40
 
     ``least_suffix`` is the shortest suffix indexed, ``common_block`` the number of distinct names of a group beyond
     which a block is refined: by ``refine``, which loses nothing, then by the first and by the last letters of the
-    names' other parts. What is left is compared whole, however large.
+    parts that must be alike. What is left is compared whole, however large.
     """
     named = rows.select("field", "row_id", "kind", "group", "name", "second", "refine")
     named = named.where("group is not null and (trim(coalesce(name, '')) <> '' or trim(coalesce(second, '')) <> '')")
@@ -234,10 +234,13 @@ def link_variants(rows: DataFrame, least_suffix: int = 4, common_block: int = 40
             batch["parts"] = [list(p) for p in parts]
             batch["rank"] = [k.rank(p) for k, p in zip(kinds, parts, strict=True)]
             batch["scope"] = [k.scope(p) for k, p in zip(kinds, parts, strict=True)]
-            batch["sketch"] = [[sketch(x) for x in k.anchors(p)] for k, p in zip(kinds, parts, strict=True)]
-            yield batch[[*kept, "parts", "rank", "scope", "sketch"]]
+            anchors = [k.anchors(p) for k, p in zip(kinds, parts, strict=True)]
+            batch["sketch"] = [[sketch(x) for x in pair] for pair in anchors]
+            batch["head"] = ["".join(sorted(x[:1] for x in pair)) for pair in anchors]
+            batch["tail"] = ["".join(sorted(x[-1:] for x in pair)) for pair in anchors]
+            yield batch[[*kept, "parts", "rank", "scope", "sketch", "head", "tail"]]
 
-    schema = "kind string, group long, surface long, refine string, parts array<string>, rank int, scope string, sketch array<long>"
+    schema = "kind string, group long, surface long, refine string, parts array<string>, rank int, scope string, sketch array<long>, head string, tail string"
     surfaces = spread(named.select(*kept, "name", "second").distinct(), "group", "surface").mapInPandas(parsed, schema)
     surfaces = cut(surfaces.withColumn("refine", F.xxhash64(F.lower("refine")) * F.when(F.col("refine").isNotNull(), 1)).withColumn("node", F.xxhash64("group", "parts", F.coalesce("refine", F.lit(0)))))
     nodes = surfaces.drop("surface").dropDuplicates(["node"])
@@ -294,8 +297,7 @@ def block_keys(nodes: DataFrame, kept: list[str], least: int) -> DataFrame:
 def _candidate_pairs(nodes: DataFrame, least: int, common: int) -> DataFrame:
     """Pairs (a, b) of nodes that share a block and whose sketches are alike."""
     own = ["node", "refine", "one", "two"]
-    ends = F.concat_ws("", F.transform(F.array_sort("parts"), lambda p: F.left(p, F.lit(1)))), F.concat_ws("", F.array_sort(F.transform("parts", lambda p: F.right(p, F.lit(1)))))
-    sketched = nodes.select("kind", "group", "scope", "parts", "node", "refine", F.col("sketch")[0].alias("one"), F.col("sketch")[1].alias("two"), *(F.hash(e).alias(n) for e, n in zip(ends, ("head", "tail"), strict=True)))
+    sketched = nodes.select("kind", "group", "scope", "parts", "node", "refine", F.col("sketch")[0].alias("one"), F.col("sketch")[1].alias("two"), F.hash("head").alias("head"), F.hash("tail").alias("tail"))
     index = block_keys(sketched, [*own, "head", "tail"], least)
     block = Window.partitionBy("block")
     sized = index.withColumn("size", F.count("*").over(block)).withColumn("least", F.min("longer").over(block)).withColumn("most", F.max("longer").over(block))
