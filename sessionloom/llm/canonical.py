@@ -275,7 +275,11 @@ def _postings(weights: Weights, threshold: float, key: str):
 
 
 def assign_canonical(rows: DataFrame, reference: DataFrame) -> DataFrame:
-    """``rows`` (field_name, row_id, kind, value, hint) with the ``ref_id`` each one means, 0 if none."""
+    """``rows`` (field_name, row_id, kind, value, hint) with the ``ref_id`` each one means, 0 if none.
+
+    Repeated rows are kept, NULL and blank values mean none, other columns aren't read.
+    """
+    rows = rows.select("field_name", "row_id", "kind", "value", "hint")
     mapping = map_to_canonical(rows, reference)
     small = broadcast_if_small(cut(mapping).withColumnRenamed("hint", "__hint").withColumnRenamed("kind", "__kind").withColumnRenamed("value", "__value"))
     same = (F.col("kind") == F.col("__kind")) & F.col("value").eqNullSafe(F.col("__value")) & F.col("hint").eqNullSafe(F.col("__hint"))
