@@ -261,6 +261,7 @@ def parse_details(answers: DataFrame, value: str = "value") -> DataFrame:
     stand beside it; a location without a state takes the answer's first one. Of records equal in name the one of the
     least id comes first.
     """
+    # The field names of the service's answers
     detail = "epaTribalInternalId long, currentName string, names array<struct<name:string>>, epaLocations array<struct<stateName:string,epaRegionName:string>>"
     a = answers.select(F.from_json(value, detail).alias("a")).select("a.*").where("epaTribalInternalId is not null")
     every = F.array_distinct(F.filter(F.concat(F.array("currentName"), F.coalesce(F.transform("names", lambda n: n["name"]), F.array().cast("array<string>"))), lambda n: n.isNotNull()))
